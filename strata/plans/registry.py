@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, oracle_analytics
+from . import analytics, loading_queries, oracle_analytics, oracle_loading
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -14,10 +14,12 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(analytics.QUERIES)
+    out.update(loading_queries.QUERIES)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update({name: oracle_analytics.oracle(name) for name in oracle_analytics.SQL})
+    out.update({name: oracle_loading.oracle(name) for name in oracle_loading.SQL})
     return out
