@@ -147,6 +147,11 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in cols])
 
 
+def out_of_domain(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
+    """TYP2: rows of a categorical column whose value is outside its declared domain (a small constant list)."""
+    return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(list(allowed)))
+
+
 def add_surrogate_key(df: DataFrame, order: Sequence[str], start_after: DataFrame | int = 0, out: str = "sk") -> DataFrame:
     """Q4: IDENTITY-like key = previous max + row number over a unique ordering.
 

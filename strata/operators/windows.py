@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 Order = Sequence[tuple[str, bool]]  # (column, ascending)
 
 
@@ -31,21 +33,10 @@ def _partitions(df: DataFrame, n_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def global_rank(
-    df: DataFrame,
-    order: Order,
-    kind: str = "rank",
-    out: str = "rank",
-    n_parts: int | None = None,
-) -> DataFrame:
-    """Add ``rank`` / ``dense_rank`` / ``row_number`` over the whole frame.
-
-    ``row_number`` needs an ordering that is unique (append the key); ties are
-    then impossible and it equals ``rank``.
-    """
+def _numbering(df: DataFrame, order: Order, kind: str, out: str, n: int) -> DataFrame:
+    """Distinct ordering values of ``df`` with their global rank (``_k<i>`` key columns, ``out``)."""
     keys = [c for c, _ in order]
     sort = _sort_exprs(order)
-    n = _partitions(df, n_parts)
     distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     ranged = distinct.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid").orderBy(*sort)
@@ -67,9 +58,54 @@ def global_rank(
         value = F.col("_doff") + F.col("_vals_before") + 1
     else:
         raise ValueError(kind)
-    numbered = numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], value.cast("int").alias(out))
-    cond = [df[k].eqNullSafe(numbered[f"_k{i}"]) for i, k in enumerate(keys)]
-    return df.join(numbered, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+    return numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], value.cast("int").alias(out))
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate frame once to the shared checkpoint folder and read it back.
+
+    For frames that several branches of one plan read: Spark cannot reuse a
+    shuffle when the branches prune different columns, so without this the
+    joins below would run once per branch.  A reliable checkpoint also cuts
+    the lineage, so a lost executor does not recompute the whole chain.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def global_ranks(
+    df: DataFrame, specs: Sequence[tuple[Order, str, str]], n_parts: int | None = None, materialize_input: bool = False
+) -> DataFrame:
+    """Several global rankings of the same frame: ``specs`` = [(order, kind, out), ...].
+
+    Each ranking is computed from the distinct ordering values only and joined
+    back on them (NULL-safe), so ``df`` is joined once per ranking and never
+    sorted as a whole.  ``row_number`` needs a unique ordering (append the
+    key); it then equals ``rank``.  ``materialize_input`` checkpoints ``df``
+    first when it is an expensive plan (it is read 1 + len(specs) times).
+    """
+    n = _partitions(df, n_parts)
+    if materialize_input:
+        df = materialize(df)
+    out = df
+    for order, kind, name in specs:
+        numbered = _numbering(df, order, kind, name, n)
+        keys = [c for c, _ in order]
+        cond = [out[k].eqNullSafe(numbered[f"_k{i}"]) for i, k in enumerate(keys)]
+        out = out.join(numbered, cond, "inner").drop(*[f"_k{i}" for i in range(len(keys))])
+    return out
+
+
+def global_rank(
+    df: DataFrame,
+    order: Order,
+    kind: str = "rank",
+    out: str = "rank",
+    n_parts: int | None = None,
+    materialize_input: bool = False,
+) -> DataFrame:
+    """Add ``rank`` / ``dense_rank`` / ``row_number`` over the whole frame (see ``global_ranks``)."""
+    return global_ranks(df, [(order, kind, out)], n_parts, materialize_input)
 
 
 def global_lag_lead(

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators.hierarchy import walk
 from ..operators.joins import latest_by, null_aware_anti, range_top1, top_keys_by_count
-from ..operators.windows import global_lag_lead, global_rank, share_of_total
+from ..operators.windows import global_lag_lead, global_rank, global_ranks, materialize, share_of_total
 from ..session import AS_OF, AS_OF_YEAR
 from .model import Model
 
@@ -199,7 +199,12 @@ def req1_12(spark: SparkSession, d: str) -> DataFrame:
 
 
 def req1_13(spark: SparkSession, d: str) -> DataFrame:
-    """Top-3 customers by data used (window over grouped rows sums distinct values)."""
+    """Top-3 customers by data used (the window over grouped rows sums distinct values).
+
+    The global ROW_NUMBER ... <= 3 is a top-k: each partition keeps its 3 best
+    rows before one task merges them.  The per-customer total is an aggregate
+    restricted to those 3 customers (a 3-row broadcast).
+    """
     m = Model(spark, d)
     c, o, bi = m.customer, m.orders, m.billinginformation
     g = (
@@ -208,12 +213,16 @@ def req1_13(spark: SparkSession, d: str) -> DataFrame:
         .groupBy("CustomerId", "CustomerName", "DataUsed")
         .agg(F.sum("DataUsed").alias("_group_sum"))
     )
-    g = g.withColumn("TotalDataUsage", F.sum("DataUsed").over(Window.partitionBy("CustomerId")))
-    # global top-3: Spark keeps 3 rows per partition before the single-task window
-    rank = Window.orderBy(F.col("_group_sum").desc(), F.col("CustomerId"), F.col("DataUsed"))
-    return g.withColumn("Rank", F.row_number().over(rank)).filter(F.col("Rank") <= 3).select(
-        "CustomerId", "CustomerName", "TotalDataUsage", "Rank"
+    order = [F.col("_group_sum").desc(), F.col("CustomerId"), F.col("DataUsed")]
+    top = g.orderBy(*order).limit(3)
+    ranked = top.withColumn("Rank", F.row_number().over(Window.orderBy(*order)))  # 3 rows
+    totals = (
+        g.join(F.broadcast(top.select(F.col("CustomerId").alias("_c"))), F.col("CustomerId") == F.col("_c"), "left_semi")
+        .groupBy(F.col("CustomerId").alias("_cust"))
+        .agg(F.sum("DataUsed").alias("TotalDataUsage"))
     )
+    j = ranked.join(F.broadcast(totals), ranked.CustomerId == totals._cust)
+    return j.select("CustomerId", "CustomerName", "TotalDataUsage", "Rank")
 
 
 def req1_14(spark: SparkSession, d: str) -> DataFrame:
@@ -260,17 +269,20 @@ def req1_17(spark: SparkSession, d: str) -> DataFrame:
     """Customer rank by total cost and share of the grand total."""
     m = Model(spark, d)
     c, o, bi = m.customer, m.orders, m.billinginformation
+    # grouped by the key alone (the name depends on it) so the per-customer window reuses the partitioning
     stats = (
         c.join(o, c.CustomerId == o.OrderCustomerId, "left")
         .join(bi, o.OrderId == bi.BillNumber, "left")
-        .groupBy("CustomerId", "CustomerName")
-        .agg(F.sum("BalancedData").alias("TotalOrderCost"))
+        .groupBy("CustomerId")
+        .agg(F.max("CustomerName").alias("CustomerName"), F.sum("BalancedData").alias("TotalOrderCost"))
     )
     per_customer = Window.partitionBy("CustomerId").orderBy(F.col("TotalOrderCost").desc_nulls_last())
     stats = stats.withColumn("CustomerOrderRank", F.dense_rank().over(per_customer)).filter(F.col("CustomerOrderRank") == 1)
-    ranked = global_rank(stats, [("TotalOrderCost", False)], "rank", "CustomerRank")
-    shared = share_of_total(ranked, "TotalOrderCost", "OrderCostPercentage")
-    return shared.select(
+    # read three times below (total, distinct costs, rows): written once
+    stats = materialize(stats)
+    shared = share_of_total(stats, "TotalOrderCost", "OrderCostPercentage")
+    ranked = global_rank(shared, [("TotalOrderCost", False)], "rank", "CustomerRank")
+    return ranked.select(
         "CustomerId", "CustomerName", "TotalOrderCost", "CustomerRank", _r4(F.col("OrderCostPercentage")).alias("OrderCostPercentage")
     )
 
@@ -351,15 +363,14 @@ def req1_20(spark: SparkSession, d: str) -> DataFrame:
     m = Model(spark, d)
     ot = _order_trends(m)
     spp = _salesperson_performance(m).withColumnRenamed("AvgCustomerAge", "SpAvgCustomerAge")
-    # ot has at most (birth years of the DOB rule) x 2 sexes x 5 types x 3 statuses rows
     matched = range_top1(
         ot, ["BirthYear", "Sex", "OrderType", "OrderStatus"], "AvgCustomerAge",
         spp, "SpAvgCustomerAge", -5.0, 5.0, [("TotalOrders", False), ("SalesPersonId", True)],
-        broadcast_outer=True,
     )
     rate = F.try_divide(F.col("ShippedOrders").cast("double"), F.nullif(F.col("TotalOrders"), F.lit(0)))
     matched = matched.withColumn("ShippedOrderRate", rate)
-    # ranks over the bounded result above: a single-task window is fine here
+    # ranks over the result: one row per (birth year, sex, order type, status) group, a few
+    # thousand at most whatever the data size, so the single-task window is bounded
     return matched.select(
         "BirthYear", "Sex", "OrderType", "OrderStatus", "OrderCount", _r4(F.col("AvgCustomerAge")).alias("AvgCustomerAge"),
         "SalespersonName", "DepartmentName", "TotalCustomers", "TotalOrders", "ShippedOrders",
@@ -519,8 +530,11 @@ def req2_04(spark: SparkSession, d: str) -> DataFrame:
         "TalktimeStatus",
         F.when(_talk_minutes("PlanTalktime") * 60 < F.col("TotalCallDurationSeconds"), "Exceeding").otherwise("Within Limit"),
     ).withColumn("DataUsageStatus", F.when(F.col("DataUsed") > F.col("IncludedData"), "Exceeding").otherwise("Within Limit"))
-    cbi = global_rank(cbi, [("TotalCalls", False)], "dense_rank", "CallFrequencyRank")
-    return global_rank(cbi, [("DataUsed", False)], "dense_rank", "DataUsageRank")
+    return global_ranks(
+        cbi,
+        [([("TotalCalls", False)], "dense_rank", "CallFrequencyRank"), ([("DataUsed", False)], "dense_rank", "DataUsageRank")],
+        materialize_input=True,
+    )
 
 
 def req2_05(spark: SparkSession, d: str, max_depth: int = 64) -> DataFrame:

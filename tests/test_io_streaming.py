@@ -119,3 +119,46 @@ def test_stream_rollup_matches_batch(spark, tmp_dir):
     assert sorted(tuple(r) for r in got.select("day", "event_type", "value", "rows").collect()) == sorted(
         tuple(r) for r in want.collect()
     )
+
+
+def test_versioned_warehouse_jobs(spark, tmp_dir):
+    from strata.operators import clean as cl
+    from strata.plans.loading_queries import source_v0, source_v1
+    from strata.sources import warehouse as wh
+
+    base = f"{tmp_dir}/dest_customer"
+    assert wh.read_current(spark, base) is None
+    assert wh.run_version_load(spark, base, source_v0(spark, SF_SMALL), "c_custkey", "2024-06-01 00:00:00") == 1
+    assert wh.run_version_load(spark, base, source_v1(spark, SF_SMALL), "c_custkey", "2024-06-30 12:00:00") == 2
+    cur = wh.read_current(spark, base)
+    open_rows = cur.filter("flag = 1")
+    assert open_rows.groupBy("c_custkey").count().filter("count > 1").count() == 0
+    assert open_rows.count() == source_v1(spark, SF_SMALL).count()
+    # a rerun with the same input adds a version with the same rows
+    assert wh.run_version_load(spark, base, source_v1(spark, SF_SMALL), "c_custkey", "2024-07-01 00:00:00") == 3
+    assert wh.read_current(spark, base).count() == cur.count()
+    assert wh.last_commit(spark, base)[1].startswith("2024-07-01")
+
+    fact = Model(spark, SF_SMALL).trx
+    b2 = f"{tmp_dir}/stge_trx"
+    first = fact.filter("nid < 1000")
+    assert wh.run_incremental_append(spark, b2, first, "nid", "2024-06-01 00:00:00", cl.clean_trx) == 1
+    assert wh.run_incremental_append(spark, b2, fact, "nid", "2024-06-02 00:00:00", cl.clean_trx) == 2
+    out = wh.read_current(spark, b2)
+    assert out.count() == fact.count() and out.filter("noperationfee IS NULL").count() == 0
+
+
+def test_landing_day_and_full_snapshot(spark, tmp_dir):
+    from strata.operators import loading as ld
+
+    ev = tb.read_table(spark, SF_SMALL, "events").withColumn("ingest_date", F.to_date("ts"))
+    ev.write.partitionBy("ingest_date").parquet(f"{tmp_dir}/landing")
+    landed = spark.read.parquet(f"{tmp_dir}/landing")
+    day = tb.landing_day(landed, "ingest_date", "2024-01-16")
+    assert day.count() == ev.filter(F.col("ingest_date") == "2024-01-15").count()
+    path = ld.write_full_snapshot(Model(spark, SF_SMALL).customer, tmp_dir, "customer", "20240630")
+    assert path.endswith("customer_FULL_20240630") and spark.read.parquet(path).count() == 150
+    assert tb.literal_rows(spark, [(1, "a")], "id int, v string").count() == 1
+    from strata.operators.versioning import is_empty
+
+    assert is_empty(ev.filter("1 = 0")) and not is_empty(ev)

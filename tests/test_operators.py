@@ -227,3 +227,8 @@ def test_text_helpers(spark):
     assert (a["head"], a["rest"], a["fw"], a["lw"]) == ("red", "widget 7", "red", "7")
     assert (b["head"], b["rest"]) == ("solo", None)
     assert (a["cap"], a["ssn"], a["ph"], a["cur"]) == ("New york", "***-**-6789", "555123****", "-$1,234.50")
+
+
+def test_categorical_domain_check(spark):
+    df = spark.createDataFrame([("prepaid",), ("eSIM",), (None,), ("bogus",)], "SimType string")
+    assert rows(ld.out_of_domain(df, "SimType", ["prepaid", "eSIM", "physical"])) == [("bogus",)]
