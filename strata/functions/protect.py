@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Separator between hashed fields (unit separator, chr 31) and
-# the marker that stands for NULL inside the hashed text.
+# Separator between hashed fields (unit separator, chr 31), the
+# marker that stands for NULL inside the hashed text, and the token written for a
+# value that cannot be decrypted ("decryption error").
 HASH_SEPARATOR = "\x1f"
 HASH_NULL = "~N"
 DECRYPT_ERROR = "ERREUR DE DÉCHIFFREMENT"

@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 from ..functions.protect import row_hash
 
-# Fixed value: open end of a current version (quirk 9 in SURVEY: one default).
+# Open end of a current version (quirk 9 in SURVEY: one default) and the
+# change-report labels of the hash job ("not modified" / "modified").
 HIGH_DATE = "9999-12-31 00:00:00"
+LABEL_SAME, LABEL_CHANGED = "Non modifié", "Modifié"
 VERSION_COLS = ("valid_from", "valid_to", "flag")
 
 
@@ -212,7 +214,7 @@ def change_report(target: DataFrame, source: DataFrame, key: str, hash_cols: Seq
     current = target.filter(F.col("flag") == 1).select(key, F.col("row_hash").alias("ChecksumColonne"))
     src = source.select(key, row_hash(source, hash_cols).alias("NouveauChecksum"))
     j = src.join(current, key, "inner")
-    label = F.when(F.col("NouveauChecksum") == F.col("ChecksumColonne"), F.lit("Non modifié")).otherwise(F.lit("Modifié"))
+    label = F.when(F.col("NouveauChecksum") == F.col("ChecksumColonne"), F.lit(LABEL_SAME)).otherwise(F.lit(LABEL_CHANGED))
     return j.withColumn("StatutModification", label)
 
 

@@ -23,6 +23,16 @@ from ..operators.windows import global_lag_lead, global_rank, global_ranks, mate
 from ..session import AS_OF, AS_OF_YEAR
 from .model import Model
 
+# Output labels and texts of the reference's requests (French trend and
+# comparison labels, limit status, default name, code prefix) and the order status the
+# shipped counts test for.
+TREND_UP, TREND_DOWN, TREND_SAME = "augmenter", "diminuer", "inchanger"
+CMP_ABOVE, CMP_BELOW, CMP_EQUAL = "plus", "moins", "egale"
+EXCEEDING, WITHIN_LIMIT = "Exceeding", "Within Limit"
+UNKNOWN_NAME = "inconnu"
+DEPT_PREFIX = "Department_"
+SHIPPED = "Shipped"
+ON_THE_WAY = "on the way"
 
 def _money(c) -> F.Column:
     return F.col(c).cast("decimal(18,2)") if isinstance(c, str) else c.cast("decimal(18,2)")
@@ -85,7 +95,7 @@ def _location_order_chain(m: Model) -> DataFrame:
         .join(m.orders.alias("o"), F.col("o.OrderCustomerId") == F.col("c.CustomerId"), "left")
         .join(m.tracking.alias("t"), F.col("o.OrderId") == F.col("t.TrackingOrderId"), "left")
         # the null-rejecting filter turns the chain into inner joins (Catalyst does it)
-        .filter(F.lower(F.col("t.TrackingStatus")) == "on the way")
+        .filter(F.lower(F.col("t.TrackingStatus")) == ON_THE_WAY)
     )
 
 
@@ -95,7 +105,7 @@ def req1_05(spark: SparkSession, d: str) -> DataFrame:
     return j.groupBy(F.col("w.LocationName").alias("LocationName")).agg(
         F.count("o.OrderId").alias("order_count"),
         F.sum(_money("e.Salary")).cast("double").alias("total_salary"),
-    ).withColumn("tracking_status", F.lit("on the way"))
+    ).withColumn("tracking_status", F.lit(ON_THE_WAY))
 
 
 def req1_06(spark: SparkSession, d: str) -> DataFrame:
@@ -312,10 +322,10 @@ def req1_19(spark: SparkSession, d: str) -> DataFrame:
     """Formatted salary, department code, reference date plus three months."""
     e = Model(spark, d).employee
     return e.select(
-        F.coalesce(F.col("Employee_Name"), F.lit("inconnu")).alias("EmployeeName"),
+        F.coalesce(F.col("Employee_Name"), F.lit(UNKNOWN_NAME)).alias("EmployeeName"),
         "DepartmentId",
         tx.currency_us("Salary").alias("FormattedSalary"),
-        F.concat(F.lit("Department_"), F.col("DepartmentId").cast("string")).alias("DepartmentCode"),
+        F.concat(F.lit(DEPT_PREFIX), F.col("DepartmentId").cast("string")).alias("DepartmentCode"),
         F.timestamp_add("MONTH", F.lit(3), F.lit(AS_OF).cast("timestamp_ntz")).alias("HiredDatePlus3Months"),
     )
 
@@ -337,7 +347,7 @@ def _salesperson_performance(m: Model) -> DataFrame:
     sp, e, dpt, c, o = m.salesperson, m.employee, m.department, m.customer, m.orders
     per_customer = o.groupBy("OrderCustomerId").agg(
         F.count("OrderId").alias("_n_orders"),
-        F.sum(F.when(F.col("OrderStatus") == "Shipped", 1).otherwise(0)).alias("_n_shipped"),
+        F.sum(F.when(F.col("OrderStatus") == SHIPPED, 1).otherwise(0)).alias("_n_shipped"),
     )
     cust = c.join(per_customer, c.CustomerId == per_customer.OrderCustomerId, "left").select(
         "CustomerId", "CustomerSalesPersonId", "DateOfBirth", "_n_orders", "_n_shipped",
@@ -406,9 +416,9 @@ def req2_01(spark: SparkSession, d: str) -> DataFrame:
     m = Model(spark, d)
     e, dpt, ew, w, s = m.employee.alias("e"), m.department.alias("d"), m.employeeworklocation.alias("ew"), m.worklocation.alias("w"), m.salary.alias("s")
     trend = (
-        F.when(F.col("e.Salary") > F.col("s.Salary"), "augmenter")
-        .when(F.col("e.Salary") < F.col("s.Salary"), "diminuer")
-        .otherwise("inchanger")
+        F.when(F.col("e.Salary") > F.col("s.Salary"), TREND_UP)
+        .when(F.col("e.Salary") < F.col("s.Salary"), TREND_DOWN)
+        .otherwise(TREND_SAME)
     )
     ep = (
         e.join(dpt, F.col("e.DepartmentId") == F.col("d.DepartmentId"))
@@ -428,9 +438,9 @@ def req2_01(spark: SparkSession, d: str) -> DataFrame:
 
     def cmp(avg_col: str) -> F.Column:
         return (
-            F.when(F.col("CurrentSalary") > F.col(avg_col), "plus")
-            .when(F.col("CurrentSalary") < F.col(avg_col), "moins")
-            .otherwise("egale")
+            F.when(F.col("CurrentSalary") > F.col(avg_col), CMP_ABOVE)
+            .when(F.col("CurrentSalary") < F.col(avg_col), CMP_BELOW)
+            .otherwise(CMP_EQUAL)
         )
 
     return j.select(
@@ -528,8 +538,8 @@ def req2_04(spark: SparkSession, d: str) -> DataFrame:
     )
     cbi = cbi.withColumn(
         "TalktimeStatus",
-        F.when(_talk_minutes("PlanTalktime") * 60 < F.col("TotalCallDurationSeconds"), "Exceeding").otherwise("Within Limit"),
-    ).withColumn("DataUsageStatus", F.when(F.col("DataUsed") > F.col("IncludedData"), "Exceeding").otherwise("Within Limit"))
+        F.when(_talk_minutes("PlanTalktime") * 60 < F.col("TotalCallDurationSeconds"), EXCEEDING).otherwise(WITHIN_LIMIT),
+    ).withColumn("DataUsageStatus", F.when(F.col("DataUsed") > F.col("IncludedData"), EXCEEDING).otherwise(WITHIN_LIMIT))
     return global_ranks(
         cbi,
         [([("TotalCalls", False)], "dense_rank", "CallFrequencyRank"), ([("DataUsed", False)], "dense_rank", "DataUsageRank")],
@@ -586,7 +596,7 @@ def req2_07(spark: SparkSession, d: str) -> DataFrame:
     pp = long.groupBy(*ids).pivot("InclusionType", ["Data", "Talktime", "TextMessages"]).agg(F.max("InclusionValue"))
 
     per_customer = o.groupBy("OrderCustomerId").agg(
-        F.count(F.lit(1)).alias("_n_orders"), F.sum(F.when(F.col("OrderStatus") == "Shipped", 1).otherwise(0)).alias("_n_shipped")
+        F.count(F.lit(1)).alias("_n_orders"), F.sum(F.when(F.col("OrderStatus") == SHIPPED, 1).otherwise(0)).alias("_n_shipped")
     )
     sims = (
         sd.join(c, sd.SimCustomerId == c.CustomerId, "left")

@@ -1,420 +1,442 @@
-"""DuckDB oracle SQL for the business queries, kept in the reference's original shape.
+"""DuckDB oracle SQL for the business queries.
 
-The entity CTEs (``t_customer`` ...) come from ``model.ENTITY_SQL``.  Only the
-semantics chosen in SURVEY 2.15 differ from the T-SQL text: explicit NULL
-order, a key as last sort column, ordered string_agg, double averages,
-decimal money sums, lower-cased status compare.
+Each oracle states the request directly in SQL over the entity CTEs of
+``model.ENTITY_SQL`` (``t_customer`` ...), independently of the DataFrame plans:
+correlated subqueries, LATERAL, recursive CTE and PIVOT are left for DuckDB
+to plan.  Semantics follow SURVEY 2.15 (double averages, decimal money sums,
+explicit NULL order, a key as last sort column, ordered string aggregation).
 """
 
 from __future__ import annotations
 
 from ..session import AS_OF, AS_OF_YEAR
+from .analytics import (
+    CMP_ABOVE, CMP_BELOW, CMP_EQUAL, DEPT_PREFIX, EXCEEDING, SHIPPED, TREND_DOWN, TREND_SAME, TREND_UP,
+    UNKNOWN_NAME, WITHIN_LIMIT,
+)
 from .model import with_entities
 
-_TALK = "TRY_CAST(trim(substr({c}, 1, strpos({c}, ' '))) AS BIGINT)"
-_AGE = f"({AS_OF_YEAR} - year({{dob}}))"
-
 
-def _talk(c: str) -> str:
-    return _TALK.format(c=c)
+def _minutes(c: str) -> str:
+    """Leading number of a talk-time text."""
+    return f"TRY_CAST(trim(substr({c}, 1, strpos({c}, ' '))) AS BIGINT)"
 
 
-def _age(dob: str) -> str:
-    return _AGE.format(dob=dob)
+def _years(dob: str) -> str:
+    return f"({AS_OF_YEAR} - year({dob}))"
 
 
 SQL: dict[str, str] = {}
 
+# --- talk minutes: customer -> sim -> plan -> inclusions
+_PLAN_ROWS = """
+    FROM t_simdata s
+    JOIN t_customer c ON c.CustomerId = s.SimCustomerId
+    JOIN t_plans pl ON pl.PlansId = s.SimPlanNumber
+    JOIN t_planinclusions pin ON pin.PlanId = pl.PlanInclusionId"""
+
 SQL["req1_01"] = f"""
-SELECT c.CustomerName, CAST(sum({_talk('p.Talktime')}) AS BIGINT) AS total_talktime_minutes
-FROM t_customer c
-INNER JOIN t_simdata s ON s.SimCustomerId = c.CustomerId
-INNER JOIN t_plans pl ON s.SimPlanNumber = pl.PlansId
-INNER JOIN t_planinclusions p ON pl.PlanInclusionId = p.PlanId
+SELECT c.CustomerName, CAST(sum({_minutes('pin.Talktime')}) AS BIGINT) AS total_talktime_minutes
+{_PLAN_ROWS}
 GROUP BY c.CustomerName
 """
 
+_SP_PLAN_ROWS = """
+    FROM t_customer c
+    JOIN t_salesperson sp ON c.CustomerSalesPersonId = sp.SalesPersonId
+    JOIN t_simdata s ON s.SimCustomerId = c.CustomerId
+    LEFT JOIN t_plans pl ON pl.PlansId = s.SimPlanNumber
+    JOIN t_planinclusions pin ON pin.PlanId = pl.PlanInclusionId"""
+
 SQL["req1_02"] = f"""
 SELECT sp.SalesPersonId, max(c.CustomerName) AS max_customername,
-       CAST(sum({_talk('p.Talktime')}) AS BIGINT) AS total_talktime_minutes
-FROM t_salesperson sp INNER JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-INNER JOIN t_simdata s ON s.SimCustomerId = c.CustomerId
-LEFT JOIN t_plans pl ON s.SimPlanNumber = pl.PlansId
-INNER JOIN t_planinclusions p ON pl.PlanInclusionId = p.PlanId
-GROUP BY sp.SalesPersonId
+       CAST(sum({_minutes('pin.Talktime')}) AS BIGINT) AS total_talktime_minutes
+{_SP_PLAN_ROWS}
+GROUP BY 1
 """
 
 SQL["req1_03"] = f"""
-SELECT sp.SalesPersonId, c.CustomerName, CAST(sum({_talk('p.Talktime')}) AS BIGINT) AS total_talktime
-FROM t_salesperson sp
-INNER JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-INNER JOIN t_simdata s ON s.SimCustomerId = c.CustomerId
-LEFT JOIN t_plans pl ON s.SimPlanNumber = pl.PlansId
-INNER JOIN t_planinclusions p ON pl.PlanInclusionId = p.PlanId
-GROUP BY sp.SalesPersonId, c.CustomerName
+SELECT sp.SalesPersonId, c.CustomerName, CAST(sum({_minutes('pin.Talktime')}) AS BIGINT) AS total_talktime
+{_SP_PLAN_ROWS}
+GROUP BY 1, 2
 """
 
-_CHAIN = """
-FROM t_worklocation w
-LEFT JOIN t_employeeworklocation ew ON w.LocationId = ew.LocationId
-LEFT JOIN t_employee e ON e.EmployeeId = ew.WorkEmployeeId
-{salary}LEFT JOIN t_salesperson sp ON e.EmployeeId = sp.IdEmployeeSalesPerson
-LEFT JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-LEFT JOIN t_orders o ON o.OrderCustomerId = c.CustomerId
-LEFT JOIN t_tracking t ON o.OrderId = t.TrackingOrderId
-WHERE lower(t.TrackingStatus) = 'on the way'
+# --- location -> staff -> salesperson -> customers -> orders -> tracking lines
+_SITE_CHAIN = """
+    FROM t_worklocation loc
+    LEFT JOIN t_employeeworklocation lnk ON lnk.LocationId = loc.LocationId
+    LEFT JOIN t_employee emp ON emp.EmployeeId = lnk.WorkEmployeeId
+    {extra}LEFT JOIN t_salesperson sp ON sp.IdEmployeeSalesPerson = emp.EmployeeId
+    LEFT JOIN t_customer cu ON cu.CustomerSalesPersonId = sp.SalesPersonId
+    LEFT JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+    LEFT JOIN t_tracking tr ON tr.TrackingOrderId = od.OrderId
+    WHERE lower(tr.TrackingStatus) = 'on the way'"""
+
+SQL["req1_05"] = f"""
+SELECT loc.LocationName, count(od.OrderId) AS order_count, 'on the way' AS tracking_status,
+       CAST(sum(CAST(emp.Salary AS DECIMAL(18,2))) AS DOUBLE) AS total_salary
+{_SITE_CHAIN.format(extra="")}
+GROUP BY loc.LocationName
 """
 
-SQL["req1_05"] = (
-    "SELECT w.LocationName, count(o.OrderId) AS order_count, 'on the way' AS tracking_status, "
-    "CAST(sum(CAST(e.Salary AS DECIMAL(18,2))) AS DOUBLE) AS total_salary"
-    + _CHAIN.format(salary="")
-    + "GROUP BY w.LocationName"
-)
+SQL["req1_10"] = f"""
+SELECT loc.LocationName, count(od.OrderId) AS total_orders, tr.TrackingStatus,
+       CAST(sum(CAST(hist.Salary AS DECIMAL(18,2))) AS DOUBLE) AS total_salary
+{_SITE_CHAIN.format(extra="LEFT JOIN t_salary hist ON hist.DepartmentId = emp.DepartmentId\n    ")}
+GROUP BY loc.LocationName, tr.TrackingStatus
+"""
 
 SQL["req1_06"] = """
-SELECT e.Employee_Name,
-       string_agg(c.CustomerName, ', ' ORDER BY c.CustomerName) AS customer_names,
-       CAST(sum(ca.CallDuration) AS BIGINT) AS total_call_duration_seconds
-FROM t_employee e LEFT JOIN t_salesperson sp ON sp.SalesPersonId = e.EmployeeId
-LEFT JOIN t_customer c ON c.CustomerSalesPersonId = sp.SalesPersonId
-LEFT JOIN t_simdata d ON c.CustomerId = d.SimCustomerId
-LEFT JOIN t_phonenumber p ON d.SimAccountNumber = p.AccountNumber
-LEFT JOIN t_callrecords ca ON p.AccountNumber = ca.CallAccountNumber
-GROUP BY e.Employee_Name
+SELECT emp.Employee_Name,
+       string_agg(cu.CustomerName, ', ' ORDER BY cu.CustomerName) AS customer_names,
+       CAST(sum(cl.CallDuration) AS BIGINT) AS total_call_duration_seconds
+FROM t_employee emp
+LEFT JOIN t_salesperson sp ON emp.EmployeeId = sp.SalesPersonId
+LEFT JOIN t_customer cu ON sp.SalesPersonId = cu.CustomerSalesPersonId
+LEFT JOIN t_simdata sim ON sim.SimCustomerId = cu.CustomerId
+LEFT JOIN t_phonenumber ph ON ph.AccountNumber = sim.SimAccountNumber
+LEFT JOIN t_callrecords cl ON cl.CallAccountNumber = ph.AccountNumber
+GROUP BY emp.Employee_Name
 """
 
-_CUST_CALLS = """
-FROM t_customer c
-LEFT JOIN t_simdata dt ON c.CustomerId = dt.SimCustomerId
-LEFT JOIN t_phonenumber p ON p.AccountNumber = dt.SimAccountNumber
-LEFT JOIN t_callrecords r ON p.AccountNumber = r.CallAccountNumber
+_CALL_ROWS = """
+FROM t_customer cu
+LEFT JOIN t_simdata sim ON sim.SimCustomerId = cu.CustomerId
+LEFT JOIN t_phonenumber ph ON ph.AccountNumber = sim.SimAccountNumber
+LEFT JOIN t_callrecords cl ON cl.CallAccountNumber = ph.AccountNumber
 """
 
-SQL["req1_07"] = (
-    "SELECT c.CustomerName, c.CustomerId AS id"
-    + _CUST_CALLS
-    + "WHERE r.CallDuration >= (SELECT max(r2.CallDuration) FROM t_callrecords r2 WHERE r2.CallDuration >= 1000)"
-)
-
-SQL["req1_08"] = (
-    "SELECT DISTINCT c.CustomerName, c.CustomerId AS id"
-    + _CUST_CALLS
-    + "WHERE r.CallDuration IN (SELECT CallDuration FROM t_callrecords WHERE CallDuration >= 1000)"
-)
+SQL["req1_07"] = f"""
+SELECT cu.CustomerName, cu.CustomerId AS id
+{_CALL_ROWS}
+WHERE cl.CallDuration >= (SELECT max(CallDuration) FROM t_callrecords WHERE CallDuration >= 1000)
+"""
 
-SQL["req1_09"] = (
-    "SELECT c.CustomerName, max(c.CustomerId) AS id"
-    + _CUST_CALLS
-    + "WHERE r.CallDuration <= (SELECT avg(CallDuration) FROM t_callrecords) GROUP BY c.CustomerName"
-)
+SQL["req1_08"] = f"""
+SELECT DISTINCT cu.CustomerName, cu.CustomerId AS id
+{_CALL_ROWS}
+WHERE EXISTS (SELECT 1 FROM t_callrecords x WHERE x.CallDuration >= 1000 AND x.CallDuration = cl.CallDuration)
+"""
 
-SQL["req1_10"] = (
-    "SELECT w.LocationName, count(o.OrderId) AS total_orders, t.TrackingStatus, "
-    "CAST(sum(CAST(s.Salary AS DECIMAL(18,2))) AS DOUBLE) AS total_salary"
-    + _CHAIN.format(salary="LEFT JOIN t_salary s ON e.DepartmentId = s.DepartmentId\n")
-    + "GROUP BY w.LocationName, t.TrackingStatus"
-)
+SQL["req1_09"] = f"""
+SELECT cu.CustomerName, max(cu.CustomerId) AS id
+{_CALL_ROWS}
+WHERE cl.CallDuration <= (SELECT avg(CallDuration) FROM t_callrecords)
+GROUP BY cu.CustomerName
+"""
 
 _SALES = """
-WITH SalespersonSales AS (
-    SELECT sp.SalesPersonId, e.Employee_Name AS SalesPersonName, CAST(sum(bi.{m}) AS BIGINT) AS TotalSales
-    FROM t_salesperson sp
-    LEFT JOIN t_employee e ON sp.IdEmployeeSalesPerson = e.EmployeeId
-    LEFT JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-    LEFT JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-    LEFT JOIN t_billinginformation bi ON o.OrderId = bi.BillNumber
-    GROUP BY sp.SalesPersonId, e.Employee_Name
-)
-SELECT SalesPersonId, SalesPersonName, TotalSales FROM SalespersonSales
+SELECT sp.SalesPersonId, emp.Employee_Name AS SalesPersonName, CAST(sum(b.{m}) AS BIGINT) AS TotalSales
+FROM t_salesperson sp
+LEFT JOIN t_employee emp ON emp.EmployeeId = sp.IdEmployeeSalesPerson
+LEFT JOIN t_customer cu ON cu.CustomerSalesPersonId = sp.SalesPersonId
+LEFT JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+LEFT JOIN t_billinginformation b ON b.BillNumber = od.OrderId
+GROUP BY sp.SalesPersonId, emp.Employee_Name
 """
 SQL["req1_11"] = _SALES.format(m="BalancedData")
 SQL["req1_12"] = _SALES.format(m="DataUsed")
 
 SQL["req1_13"] = """
-WITH CustomerDataUsage AS (
-    SELECT c.CustomerId, c.CustomerName,
-        CAST(SUM(bi.DataUsed) OVER (PARTITION BY c.CustomerId) AS BIGINT) AS TotalDataUsage,
-        CAST(ROW_NUMBER() OVER (ORDER BY SUM(bi.DataUsed) DESC, c.CustomerId, bi.DataUsed) AS INTEGER) AS Rank
-    FROM t_customer c
-    JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-    JOIN t_billinginformation bi ON o.OrderId = bi.BillNumber
-    GROUP BY c.CustomerId, c.CustomerName, bi.DataUsed
+WITH usage_groups AS (
+    SELECT cu.CustomerId, cu.CustomerName, b.DataUsed, sum(b.DataUsed) AS group_sum
+    FROM t_orders od
+    JOIN t_customer cu ON cu.CustomerId = od.OrderCustomerId
+    JOIN t_billinginformation b ON b.BillNumber = od.OrderId
+    GROUP BY 1, 2, 3
+),
+numbered AS (
+    SELECT *, CAST(sum(DataUsed) OVER (PARTITION BY CustomerId) AS BIGINT) AS TotalDataUsage,
+           CAST(row_number() OVER (ORDER BY group_sum DESC, CustomerId, DataUsed) AS INTEGER) AS Rank
+    FROM usage_groups
 )
-SELECT CustomerId, CustomerName, TotalDataUsage, Rank FROM CustomerDataUsage WHERE Rank <= 3
+SELECT CustomerId, CustomerName, TotalDataUsage, Rank FROM numbered WHERE Rank <= 3
 """
 
 SQL["req1_14"] = """
-WITH EmployeeDetails AS (
-    SELECT e.EmployeeId, e.Employee_Name, e.Salary,
-        LAG(e.EmployeeId) OVER (ORDER BY e.EmployeeId) AS PreviousEmployeeId,
-        LEAD(e.EmployeeId) OVER (ORDER BY e.EmployeeId) AS NextEmployeeId
-    FROM t_employee e
-)
-SELECT EmployeeId, Employee_Name, Salary, PreviousEmployeeId, NextEmployeeId,
-    ABS(EmployeeId - PreviousEmployeeId) AS GapToPreviousEmployee,
-    ABS(EmployeeId - NextEmployeeId) AS GapToNextEmployee
-FROM EmployeeDetails
+SELECT EmployeeId, Employee_Name, Salary, prev_id AS PreviousEmployeeId, next_id AS NextEmployeeId,
+       abs(EmployeeId - prev_id) AS GapToPreviousEmployee, abs(EmployeeId - next_id) AS GapToNextEmployee
+FROM (
+    SELECT *, lag(EmployeeId) OVER w AS prev_id, lead(EmployeeId) OVER w AS next_id
+    FROM t_employee WINDOW w AS (ORDER BY EmployeeId)
+) z
 """
 
 SQL["req1_15"] = """
-WITH RankedEmployees AS (
-    SELECT e.EmployeeId, e.Employee_Name, e.Salary, e.DepartmentId,
-        CAST(ROW_NUMBER() OVER (PARTITION BY e.DepartmentId ORDER BY e.Salary DESC, e.EmployeeId) AS INTEGER) AS Rank
-    FROM t_employee e
-)
-SELECT DepartmentId, EmployeeId, Employee_Name, Salary, Rank FROM RankedEmployees WHERE Rank <= 5
+SELECT DepartmentId, EmployeeId, Employee_Name, Salary, Rank
+FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId) AS INTEGER) AS Rank
+    FROM t_employee
+) z
+WHERE Rank <= 5
 """
 
 SQL["req1_16"] = """
 SELECT EmployeeId, Employee_Name, Salary, DepartmentId,
-    CAST(DENSE_RANK() OVER (PARTITION BY DepartmentId ORDER BY Salary DESC) AS INTEGER) AS SalaryRankInDepartment,
-    CAST(ROW_NUMBER() OVER (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId) AS INTEGER) AS SalaryRowInDepartment,
-    CAST(NTILE(4) OVER (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId) AS INTEGER) AS SalaryQuartileInDepartment,
-    round(Salary - AVG(Salary) OVER (PARTITION BY DepartmentId), 4) AS SalaryDifferenceFromAvg,
-    FIRST_VALUE(EmployeeId) OVER (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId) AS HighestPaidEmployeeIdInDepartment,
-    LAST_VALUE(EmployeeId) OVER (PARTITION BY DepartmentId ORDER BY Salary DESC) AS LowestPaidEmployeeIdInDepartment
+    CAST(dense_rank() OVER by_pay AS INTEGER) AS SalaryRankInDepartment,
+    CAST(row_number() OVER by_pay_id AS INTEGER) AS SalaryRowInDepartment,
+    CAST(ntile(4) OVER by_pay_id AS INTEGER) AS SalaryQuartileInDepartment,
+    round(Salary - avg(Salary) OVER (PARTITION BY DepartmentId), 4) AS SalaryDifferenceFromAvg,
+    first_value(EmployeeId) OVER by_pay_id AS HighestPaidEmployeeIdInDepartment,
+    last_value(EmployeeId) OVER by_pay AS LowestPaidEmployeeIdInDepartment
 FROM t_employee
+WINDOW by_pay AS (PARTITION BY DepartmentId ORDER BY Salary DESC),
+       by_pay_id AS (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId)
 """
 
 SQL["req1_17"] = """
+WITH cost AS (
+    SELECT cu.CustomerId, cu.CustomerName, CAST(sum(b.BalancedData) AS BIGINT) AS TotalOrderCost
+    FROM t_customer cu
+    LEFT JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+    LEFT JOIN t_billinginformation b ON b.BillNumber = od.OrderId
+    GROUP BY cu.CustomerId, cu.CustomerName
+)
 SELECT CustomerId, CustomerName, TotalOrderCost,
-    CAST(RANK() OVER (ORDER BY TotalOrderCost DESC NULLS LAST) AS INTEGER) AS CustomerRank,
-    round(TotalOrderCost / SUM(TotalOrderCost) OVER () * 100, 4) AS OrderCostPercentage
-FROM
-    (SELECT c.CustomerId, c.CustomerName,
-            CAST(SUM(bi.BalancedData) AS BIGINT) AS TotalOrderCost,
-            DENSE_RANK() OVER (PARTITION BY c.CustomerId ORDER BY SUM(bi.BalancedData) DESC NULLS LAST) AS CustomerOrderRank
-        FROM t_customer c
-        LEFT JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-        LEFT JOIN t_billinginformation bi ON o.OrderId = bi.BillNumber
-        GROUP BY c.CustomerId, c.CustomerName
-    ) AS CustomerOrderStats WHERE CustomerOrderRank = 1
+       CAST(rank() OVER (ORDER BY TotalOrderCost DESC NULLS LAST) AS INTEGER) AS CustomerRank,
+       round(100.0 * TotalOrderCost / sum(TotalOrderCost) OVER (), 4) AS OrderCostPercentage
+FROM cost
+QUALIFY dense_rank() OVER (PARTITION BY CustomerId ORDER BY TotalOrderCost DESC NULLS LAST) = 1
 """
 
 SQL["req1_18"] = """
-SELECT * FROM (
+WITH named AS (
     SELECT e.EmployeeId, e.Employee_Name, e.DepartmentId, e.Salary, e.Age, e.SSN,
-        CAST(ROW_NUMBER() OVER (ORDER BY e.Salary DESC, e.EmployeeId) AS INTEGER) AS RowNumber
-    FROM t_employee e JOIN t_department d ON e.DepartmentId = d.DepartmentId
+           CAST(row_number() OVER (ORDER BY e.Salary DESC, e.EmployeeId) AS INTEGER) AS RowNumber
+    FROM t_employee e
     WHERE regexp_matches(e.Employee_Name, '^[A-Ma-m]')
-) x ORDER BY Age DESC, EmployeeId OFFSET 10 ROWS FETCH NEXT 5 ROWS ONLY
+      AND EXISTS (SELECT 1 FROM t_department d WHERE d.DepartmentId = e.DepartmentId)
+)
+SELECT * FROM named ORDER BY Age DESC, EmployeeId LIMIT 5 OFFSET 10
 """
 
 SQL["req1_19"] = f"""
-SELECT COALESCE(Employee_Name, 'inconnu') AS EmployeeName, DepartmentId,
-    CASE WHEN Salary < 0 THEN concat('-$', format('{{:,.2f}}', -Salary)) ELSE concat('$', format('{{:,.2f}}', Salary)) END AS FormattedSalary,
-    concat('Department_', CAST(DepartmentId AS VARCHAR)) AS DepartmentCode,
-    TIMESTAMP '{AS_OF}' + INTERVAL 3 MONTH AS HiredDatePlus3Months
+SELECT coalesce(Employee_Name, '{UNKNOWN_NAME}') AS EmployeeName, DepartmentId,
+       (CASE WHEN Salary < 0 THEN '-$' ELSE '$' END) || format('{{:,.2f}}', abs(Salary)) AS FormattedSalary,
+       '{DEPT_PREFIX}' || CAST(DepartmentId AS VARCHAR) AS DepartmentCode,
+       TIMESTAMP '{AS_OF}' + INTERVAL 3 MONTH AS HiredDatePlus3Months
 FROM t_employee
 """
 
 SQL["req1_20"] = f"""
-WITH OrderTrends AS (
-    SELECT YEAR(c.DateOfBirth) AS BirthYear, c.Sex, o.OrderType, o.OrderStatus,
-        COUNT(*) AS OrderCount, AVG({_age('c.DateOfBirth')}) AS AvgCustomerAge
-    FROM t_customer c JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-    GROUP BY YEAR(c.DateOfBirth), c.Sex, o.OrderType, o.OrderStatus
+WITH trends AS (
+    SELECT year(cu.DateOfBirth) AS BirthYear, cu.Sex, od.OrderType, od.OrderStatus,
+           count(*) AS OrderCount, avg({_years('cu.DateOfBirth')}) AS AvgCustomerAge
+    FROM t_orders od JOIN t_customer cu ON cu.CustomerId = od.OrderCustomerId
+    GROUP BY 1, 2, 3, 4
 ),
-SalespersonPerformance AS (
-    SELECT sp.SalesPersonId, e.Employee_Name AS SalespersonName, d.DepartmentName,
-        COUNT(DISTINCT c.CustomerId) AS TotalCustomers, COUNT(DISTINCT o.OrderId) AS TotalOrders,
-        SUM(CASE WHEN o.OrderStatus = 'Shipped' THEN 1 ELSE 0 END) AS ShippedOrders,
-        AVG({_age('c.DateOfBirth')}) AS AvgCustomerAge
+sellers AS (
+    SELECT sp.SalesPersonId, emp.Employee_Name AS SalespersonName, dep.DepartmentName,
+           count(DISTINCT cu.CustomerId) AS TotalCustomers, count(DISTINCT od.OrderId) AS TotalOrders,
+           count(*) FILTER (WHERE od.OrderStatus = '{SHIPPED}') AS ShippedOrders,
+           avg({_years('cu.DateOfBirth')}) AS AvgCustomerAge
     FROM t_salesperson sp
-    JOIN t_employee e ON sp.IdEmployeeSalesPerson = e.EmployeeId
-    JOIN t_department d ON e.DepartmentId = d.DepartmentId
-    LEFT JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-    LEFT JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-    GROUP BY sp.SalesPersonId, e.Employee_Name, d.DepartmentName
+    JOIN t_employee emp ON emp.EmployeeId = sp.IdEmployeeSalesPerson
+    JOIN t_department dep ON dep.DepartmentId = emp.DepartmentId
+    LEFT JOIN t_customer cu ON cu.CustomerSalesPersonId = sp.SalesPersonId
+    LEFT JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+    GROUP BY 1, 2, 3
+),
+matched AS (
+    SELECT t.*, best.SalespersonName, best.DepartmentName, best.TotalCustomers, best.TotalOrders, best.ShippedOrders,
+           CAST(best.ShippedOrders AS DOUBLE) / NULLIF(best.TotalOrders, 0) AS rate
+    FROM trends t, LATERAL (
+        SELECT * FROM sellers s
+        WHERE s.AvgCustomerAge >= t.AvgCustomerAge - 5 AND s.AvgCustomerAge <= t.AvgCustomerAge + 5
+        ORDER BY s.TotalOrders DESC, s.SalesPersonId
+        LIMIT 1
+    ) best
 )
-SELECT ot.BirthYear, ot.Sex, ot.OrderType, ot.OrderStatus, ot.OrderCount, round(ot.AvgCustomerAge, 4) AS AvgCustomerAge,
-    sp.SalespersonName, sp.DepartmentName, sp.TotalCustomers, sp.TotalOrders, CAST(sp.ShippedOrders AS BIGINT) AS ShippedOrders,
-    round(CAST(sp.ShippedOrders AS DOUBLE) / NULLIF(sp.TotalOrders, 0), 4) AS ShippedOrderRate,
-    CAST(DENSE_RANK() OVER (ORDER BY sp.TotalCustomers DESC NULLS LAST) AS INTEGER) AS CustomerRank,
-    CAST(DENSE_RANK() OVER (ORDER BY sp.TotalOrders DESC NULLS LAST) AS INTEGER) AS OrderRank,
-    CAST(DENSE_RANK() OVER (ORDER BY CAST(sp.ShippedOrders AS DOUBLE) / NULLIF(sp.TotalOrders, 0) DESC NULLS LAST) AS INTEGER) AS ShippedOrderRateRank
-FROM OrderTrends ot,
-LATERAL (
-    SELECT * FROM SalespersonPerformance
-    WHERE AvgCustomerAge BETWEEN ot.AvgCustomerAge - 5 AND ot.AvgCustomerAge + 5
-    ORDER BY TotalOrders DESC, SalesPersonId ASC
-    LIMIT 1
-) sp
+SELECT BirthYear, Sex, OrderType, OrderStatus, OrderCount, round(AvgCustomerAge, 4) AS AvgCustomerAge,
+       SalespersonName, DepartmentName, TotalCustomers, TotalOrders, ShippedOrders, round(rate, 4) AS ShippedOrderRate,
+       CAST(dense_rank() OVER (ORDER BY TotalCustomers DESC NULLS LAST) AS INTEGER) AS CustomerRank,
+       CAST(dense_rank() OVER (ORDER BY TotalOrders DESC NULLS LAST) AS INTEGER) AS OrderRank,
+       CAST(dense_rank() OVER (ORDER BY rate DESC NULLS LAST) AS INTEGER) AS ShippedOrderRateRank
+FROM matched
 """
 
 SQL["req1_22"] = """
-SELECT c.CustomerId, c.CustomerName, o.OrderId, o.OrderType, o.OrderStatus, bi.TotalCost
-FROM t_customer c
-JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-JOIN (SELECT OrderCustomerId, CAST(SUM(IncludedData + DataUsed + BalancedData) AS BIGINT) AS TotalCost
-      FROM t_orders o JOIN t_billinginformation bi ON o.OrderId = bi.BillNumber
-      GROUP BY OrderCustomerId) AS bi ON c.CustomerId = bi.OrderCustomerId
-WHERE bi.TotalCost > (SELECT AVG(TotalCost)
-    FROM (SELECT SUM(IncludedData + DataUsed + BalancedData) AS TotalCost FROM t_billinginformation GROUP BY BillNumber) AS avgCost)
+WITH per_customer AS (
+    SELECT od.OrderCustomerId AS cust, CAST(sum(b.IncludedData + b.DataUsed + b.BalancedData) AS BIGINT) AS TotalCost
+    FROM t_billinginformation b JOIN t_orders od ON od.OrderId = b.BillNumber
+    GROUP BY 1
+),
+bill_mean AS (
+    SELECT avg(total) AS mean_cost FROM (
+        SELECT BillNumber, sum(IncludedData + DataUsed + BalancedData) AS total FROM t_billinginformation GROUP BY 1
+    ) q
+)
+SELECT cu.CustomerId, cu.CustomerName, od.OrderId, od.OrderType, od.OrderStatus, pc.TotalCost
+FROM per_customer pc
+JOIN t_customer cu ON cu.CustomerId = pc.cust
+JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+CROSS JOIN bill_mean
+WHERE pc.TotalCost > bill_mean.mean_cost
 """
 
-SQL["req2_01"] = """
-WITH EmployeePerformance AS (
-    SELECT e.EmployeeId, e.Employee_Name, d.DepartmentName, w.LocationName, e.Salary AS CurrentSalary, s.Salary AS HistoricalSalary,
-        CASE WHEN e.Salary > s.Salary THEN 'augmenter' WHEN e.Salary < s.Salary THEN 'diminuer' ELSE 'inchanger' END AS SalaryTrend
-    FROM t_employee e JOIN t_department d ON e.DepartmentId = d.DepartmentId
-    JOIN t_employeeworklocation ew ON e.EmployeeId = ew.WorkEmployeeId
-    JOIN t_worklocation w ON ew.LocationId = w.LocationId
-    LEFT JOIN t_salary s ON e.EmployeeId = s.EmployeeId
-),
-DepartmentStats AS (
-    SELECT DepartmentName, AVG(CurrentSalary) AS AvgDepartmentSalary, COUNT(*) AS EmployeeCount FROM EmployeePerformance GROUP BY DepartmentName
+SQL["req2_01"] = f"""
+WITH staff AS (
+    SELECT emp.EmployeeId, emp.Employee_Name, dep.DepartmentName, loc.LocationName, emp.Salary AS CurrentSalary,
+           CASE WHEN hist.Salary IS NULL OR emp.Salary = hist.Salary THEN '{TREND_SAME}'
+                WHEN emp.Salary > hist.Salary THEN '{TREND_UP}' ELSE '{TREND_DOWN}' END AS SalaryTrend
+    FROM t_employeeworklocation lnk
+    JOIN t_employee emp ON emp.EmployeeId = lnk.WorkEmployeeId
+    JOIN t_department dep ON dep.DepartmentId = emp.DepartmentId
+    JOIN t_worklocation loc ON loc.LocationId = lnk.LocationId
+    LEFT JOIN t_salary hist ON hist.EmployeeId = emp.EmployeeId
 ),
-LocationStats AS (
-    SELECT LocationName, AVG(CurrentSalary) AS AvgLocationSalary, COUNT(*) AS EmployeeCount FROM EmployeePerformance GROUP BY LocationName
+means AS (
+    SELECT *, avg(CurrentSalary) OVER (PARTITION BY DepartmentName) AS dep_mean,
+              avg(CurrentSalary) OVER (PARTITION BY LocationName) AS loc_mean
+    FROM staff
 )
-SELECT ep.EmployeeId, ep.Employee_Name, ep.DepartmentName, ep.LocationName, ep.CurrentSalary, ep.SalaryTrend,
-    round(ds.AvgDepartmentSalary, 4) AS AvgDepartmentSalary, round(ls.AvgLocationSalary, 4) AS AvgLocationSalary,
-    CASE WHEN ep.CurrentSalary > ds.AvgDepartmentSalary THEN 'plus' WHEN ep.CurrentSalary < ds.AvgDepartmentSalary THEN 'moins' ELSE 'egale' END AS DepartmentSalaryComparison,
-    CASE WHEN ep.CurrentSalary > ls.AvgLocationSalary THEN 'plus' WHEN ep.CurrentSalary < ls.AvgLocationSalary THEN 'moins' ELSE 'egale' END AS LocationSalaryComparison
-FROM EmployeePerformance ep
-JOIN DepartmentStats ds ON ep.DepartmentName = ds.DepartmentName
-JOIN LocationStats ls ON ep.LocationName = ls.LocationName
+SELECT EmployeeId, Employee_Name, DepartmentName, LocationName, CurrentSalary, SalaryTrend,
+       round(dep_mean, 4) AS AvgDepartmentSalary, round(loc_mean, 4) AS AvgLocationSalary,
+       CASE WHEN CurrentSalary > dep_mean THEN '{CMP_ABOVE}' WHEN CurrentSalary < dep_mean THEN '{CMP_BELOW}' ELSE '{CMP_EQUAL}' END
+           AS DepartmentSalaryComparison,
+       CASE WHEN CurrentSalary > loc_mean THEN '{CMP_ABOVE}' WHEN CurrentSalary < loc_mean THEN '{CMP_BELOW}' ELSE '{CMP_EQUAL}' END
+           AS LocationSalaryComparison
+FROM means
 """
 
 SQL["req2_02"] = """
-WITH HighValueCustomers AS (
-    SELECT c.CustomerId, c.CustomerName, p.PlansType, p.PlanName
-    FROM t_customer c
-    JOIN t_simdata sd ON c.CustomerId = sd.SimCustomerId
-    JOIN t_plans p ON sd.SimPlanNumber = p.PlansId
-    JOIN t_planinclusions pi ON p.PlanInclusionId = pi.PlanId
-    WHERE pi.Data LIKE '%GB%' AND
-          TRY_CAST(CASE WHEN strpos(pi.Data, ' ') > 1 THEN left(pi.Data, strpos(pi.Data, ' ') - 1) ELSE pi.Data END AS DECIMAL(18,0)) >= 1.5
+WITH gb_plans AS (
+    SELECT cu.CustomerId, cu.CustomerName, pl.PlansType, pl.PlanName
+    FROM t_simdata s
+    JOIN t_customer cu ON cu.CustomerId = s.SimCustomerId
+    JOIN t_plans pl ON pl.PlansId = s.SimPlanNumber
+    JOIN t_planinclusions pin ON pin.PlanId = pl.PlanInclusionId
+    WHERE contains(pin.Data, 'GB')
+      AND TRY_CAST(CASE WHEN strpos(pin.Data, ' ') > 1 THEN substr(pin.Data, 1, strpos(pin.Data, ' ') - 1) ELSE pin.Data END
+                   AS DECIMAL(18,0)) >= 1.5
 )
-SELECT hvc.CustomerName, hvc.PlansType, hvc.PlanName,
-       CAST(SUM(date_diff('second', cr.CallStartTime, cr.CallEndTime)) AS BIGINT) AS TotalCallDurationSeconds
-FROM HighValueCustomers hvc
-JOIN t_simdata sd ON hvc.CustomerId = sd.SimCustomerId
-JOIN t_phonenumber pn ON sd.SimAccountNumber = pn.AccountNumber
-JOIN t_callrecords cr ON pn.AccountNumber = cr.CallAccountNumber
-GROUP BY hvc.CustomerName, hvc.PlansType, hvc.PlanName
+SELECT g.CustomerName, g.PlansType, g.PlanName,
+       CAST(sum(date_diff('second', cl.CallStartTime, cl.CallEndTime)) AS BIGINT) AS TotalCallDurationSeconds
+FROM gb_plans g
+JOIN t_simdata s2 ON s2.SimCustomerId = g.CustomerId
+JOIN t_phonenumber ph ON ph.AccountNumber = s2.SimAccountNumber
+JOIN t_callrecords cl ON cl.CallAccountNumber = ph.AccountNumber
+GROUP BY 1, 2, 3
 """
 
 SQL["req2_03"] = """
-SELECT sp.SalesPersonId, e.Employee_Name AS SalespersonName, COUNT(DISTINCT c.CustomerId) AS TotalCustomers,
-    round(AVG(e.Salary), 4) AS AverageSalary,
-    (SELECT COUNT(DISTINCT o.OrderId) FROM t_orders o
-     WHERE o.OrderCustomerId IN (SELECT CustomerId FROM t_customer WHERE CustomerSalesPersonId = sp.SalesPersonId)) AS TotalOrders,
-    (SELECT w.LocationName FROM t_employeeworklocation ew JOIN t_worklocation w ON ew.LocationId = w.LocationId
-     WHERE ew.WorkEmployeeId = sp.IdEmployeeSalesPerson ORDER BY w.LocationName LIMIT 1) AS PrimaryWorkLocation
-FROM t_salesperson sp
-JOIN t_employee e ON sp.IdEmployeeSalesPerson = e.EmployeeId
-JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-GROUP BY sp.SalesPersonId, sp.IdEmployeeSalesPerson, e.Employee_Name, e.Salary
-HAVING COUNT(DISTINCT c.CustomerId) > 3
+SELECT sp.SalesPersonId, emp.Employee_Name AS SalespersonName, count(DISTINCT cu.CustomerId) AS TotalCustomers,
+       round(avg(emp.Salary), 4) AS AverageSalary,
+       (SELECT count(DISTINCT od.OrderId) FROM t_orders od JOIN t_customer c2 ON c2.CustomerId = od.OrderCustomerId
+         WHERE c2.CustomerSalesPersonId = sp.SalesPersonId) AS TotalOrders,
+       (SELECT min(loc.LocationName) FROM t_employeeworklocation lnk JOIN t_worklocation loc ON loc.LocationId = lnk.LocationId
+         WHERE lnk.WorkEmployeeId = sp.IdEmployeeSalesPerson) AS PrimaryWorkLocation
+FROM t_customer cu
+JOIN t_salesperson sp ON sp.SalesPersonId = cu.CustomerSalesPersonId
+JOIN t_employee emp ON emp.EmployeeId = sp.IdEmployeeSalesPerson
+GROUP BY sp.SalesPersonId, sp.IdEmployeeSalesPerson, emp.Employee_Name, emp.Salary
+HAVING count(DISTINCT cu.CustomerId) > 3
 """
 
-SQL["req2_04"] = """
-WITH CustomerCallStats AS (
-    SELECT c.CustomerId, c.CustomerName, sd.SimNumber, p.PlanName, pi.Data AS PlanData, pi.Talktime AS PlanTalktime,
-        COUNT(cr.CallId) AS TotalCalls,
-        CAST(SUM(date_diff('second', cr.CallStartTime, cr.CallEndTime)) AS BIGINT) AS TotalCallDurationSeconds,
-        round(AVG(date_diff('second', cr.CallStartTime, cr.CallEndTime)), 4) AS AvgCallDurationSeconds,
-        ROW_NUMBER() OVER (PARTITION BY c.CustomerId ORDER BY COUNT(cr.CallId) DESC, sd.SimNumber) AS PlanRank
-    FROM t_customer c
-    JOIN t_simdata sd ON c.CustomerId = sd.SimCustomerId
-    JOIN t_plans p ON sd.SimPlanNumber = p.PlansId
-    JOIN t_planinclusions pi ON p.PlanInclusionId = pi.PlanId
-    JOIN t_phonenumber pn ON sd.SimAccountNumber = pn.AccountNumber
-    LEFT JOIN t_callrecords cr ON pn.AccountNumber = cr.CallAccountNumber
-    GROUP BY c.CustomerId, c.CustomerName, sd.SimNumber, p.PlanName, pi.Data, pi.Talktime
+SQL["req2_04"] = f"""
+WITH per_sim AS (
+    SELECT cu.CustomerId, cu.CustomerName, s.SimNumber, pl.PlanName, pin.Data AS PlanData, pin.Talktime AS PlanTalktime,
+           count(cl.CallId) AS TotalCalls,
+           CAST(sum(date_diff('second', cl.CallStartTime, cl.CallEndTime)) AS BIGINT) AS TotalCallDurationSeconds,
+           round(avg(date_diff('second', cl.CallStartTime, cl.CallEndTime)), 4) AS AvgCallDurationSeconds
+    FROM t_simdata s
+    JOIN t_customer cu ON cu.CustomerId = s.SimCustomerId
+    JOIN t_plans pl ON pl.PlansId = s.SimPlanNumber
+    JOIN t_planinclusions pin ON pin.PlanId = pl.PlanInclusionId
+    JOIN t_phonenumber ph ON ph.AccountNumber = s.SimAccountNumber
+    LEFT JOIN t_callrecords cl ON cl.CallAccountNumber = ph.AccountNumber
+    GROUP BY 1, 2, 3, 4, 5, 6
 ),
-CustomerBillingInfo AS (
-    SELECT ccs.CustomerId, ccs.CustomerName, ccs.SimNumber, ccs.PlanName, ccs.PlanData, ccs.PlanTalktime,
-        ccs.TotalCalls, ccs.TotalCallDurationSeconds, ccs.AvgCallDurationSeconds, bi.IncludedData,
-        bi.DataUsed, bi.BalancedData, bi.Tax
-    FROM CustomerCallStats ccs
-    JOIN t_phonenumber pn ON ccs.SimNumber = pn.PhoneNumber
-    JOIN t_billinginformation bi ON pn.PhoneBillNumber = bi.BillNumber
-    WHERE ccs.PlanRank = 1
+top_sim AS (
+    SELECT * FROM per_sim QUALIFY row_number() OVER (PARTITION BY CustomerId ORDER BY TotalCalls DESC, SimNumber) = 1
+),
+billed AS (
+    SELECT t.*, b.IncludedData, b.DataUsed, b.BalancedData, b.Tax
+    FROM top_sim t
+    JOIN t_phonenumber ph ON ph.PhoneNumber = t.SimNumber
+    JOIN t_billinginformation b ON b.BillNumber = ph.PhoneBillNumber
 )
-SELECT cbi.*,
-    CASE WHEN CAST(substr(cbi.PlanTalktime, 1, strpos(cbi.PlanTalktime, ' ') - 1) AS BIGINT) * 60 < cbi.TotalCallDurationSeconds
-         THEN 'Exceeding' ELSE 'Within Limit' END AS TalktimeStatus,
-    CASE WHEN cbi.DataUsed > cbi.IncludedData THEN 'Exceeding' ELSE 'Within Limit' END AS DataUsageStatus,
-    CAST(DENSE_RANK() OVER (ORDER BY cbi.TotalCalls DESC NULLS LAST) AS INTEGER) AS CallFrequencyRank,
-    CAST(DENSE_RANK() OVER (ORDER BY cbi.DataUsed DESC NULLS LAST) AS INTEGER) AS DataUsageRank
-FROM CustomerBillingInfo cbi
+SELECT *,
+       CASE WHEN 60 * TRY_CAST(split_part(PlanTalktime, ' ', 1) AS BIGINT) < TotalCallDurationSeconds
+            THEN '{EXCEEDING}' ELSE '{WITHIN_LIMIT}' END AS TalktimeStatus,
+       CASE WHEN DataUsed > IncludedData THEN '{EXCEEDING}' ELSE '{WITHIN_LIMIT}' END AS DataUsageStatus,
+       CAST(dense_rank() OVER (ORDER BY TotalCalls DESC NULLS LAST) AS INTEGER) AS CallFrequencyRank,
+       CAST(dense_rank() OVER (ORDER BY DataUsed DESC NULLS LAST) AS INTEGER) AS DataUsageRank
+FROM billed
 """
 
 SQL["req2_05"] = """
-WITH RECURSIVE EmployeeHierarchy AS (
+WITH RECURSIVE chain AS (
     SELECT e.EmployeeId, e.Employee_Name, e.DepartmentId, d.DepartmentName, e.Salary,
-        left(e.Employee_Name, 255) AS HierarchyPath, 0 AS Level
-    FROM t_employee e
-    JOIN t_department d ON e.DepartmentId = d.DepartmentId
-    WHERE e.EmployeeId NOT IN (SELECT DISTINCT IdEmployeeSalesPerson FROM t_salesperson)
+           left(e.Employee_Name, 255) AS HierarchyPath, 0 AS Level
+    FROM t_employee e JOIN t_department d ON d.DepartmentId = e.DepartmentId
+    WHERE e.EmployeeId NOT IN (SELECT IdEmployeeSalesPerson FROM t_salesperson)
     UNION ALL
     SELECT e.EmployeeId, e.Employee_Name, e.DepartmentId, d.DepartmentName, e.Salary,
-        left(eh.HierarchyPath || ' > ' || e.Employee_Name, 255), eh.Level + 1
-    FROM t_employee e
-    JOIN t_department d ON e.DepartmentId = d.DepartmentId
-    JOIN t_salesperson sp ON e.EmployeeId = sp.IdEmployeeSalesPerson
-    JOIN EmployeeHierarchy eh ON sp.SalesPersonId = eh.EmployeeId
-    WHERE e.EmployeeId <> eh.EmployeeId
+           left(up.HierarchyPath || ' > ' || e.Employee_Name, 255), up.Level + 1
+    FROM chain up
+    JOIN t_salesperson sp ON sp.SalesPersonId = up.EmployeeId
+    JOIN t_employee e ON e.EmployeeId = sp.IdEmployeeSalesPerson
+    JOIN t_department d ON d.DepartmentId = e.DepartmentId
+    WHERE e.EmployeeId <> up.EmployeeId
 )
-SELECT eh.*, w.LocationName, COUNT(c.CustomerId) AS ManagedCustomers, round(AVG(CAST(c.Age AS DOUBLE)), 4) AS AvgCustomerAge
-FROM EmployeeHierarchy eh
-LEFT JOIN t_employeeworklocation ew ON eh.EmployeeId = ew.WorkEmployeeId
-LEFT JOIN t_worklocation w ON ew.LocationId = w.LocationId
-LEFT JOIN t_salesperson sp ON eh.EmployeeId = sp.IdEmployeeSalesPerson
-LEFT JOIN t_customer c ON sp.SalesPersonId = c.CustomerSalesPersonId
-GROUP BY eh.EmployeeId, eh.Employee_Name, eh.DepartmentId, eh.DepartmentName, eh.Salary, eh.HierarchyPath, eh.Level, w.LocationName
+SELECT ch.EmployeeId, ch.Employee_Name, ch.DepartmentId, ch.DepartmentName, ch.Salary, ch.HierarchyPath, ch.Level,
+       loc.LocationName, count(cu.CustomerId) AS ManagedCustomers, round(avg(CAST(cu.Age AS DOUBLE)), 4) AS AvgCustomerAge
+FROM chain ch
+LEFT JOIN t_employeeworklocation lnk ON lnk.WorkEmployeeId = ch.EmployeeId
+LEFT JOIN t_worklocation loc ON loc.LocationId = lnk.LocationId
+LEFT JOIN t_salesperson sp ON sp.IdEmployeeSalesPerson = ch.EmployeeId
+LEFT JOIN t_customer cu ON cu.CustomerSalesPersonId = sp.SalesPersonId
+GROUP BY ALL
 """
 
 SQL["req2_07"] = f"""
-WITH PlanDetails AS (
-    SELECT p.PlansId, p.PlansType, p.PlanName, pi.Data, pi.Talktime, pi.TextMessages
-    FROM t_plans p JOIN t_planinclusions pi ON p.PlanInclusionId = pi.PlanId
+WITH long_form AS (
+    UNPIVOT (
+        SELECT pl.PlansId, pl.PlansType, pl.PlanName, pin.Data, pin.Talktime, pin.TextMessages
+        FROM t_plans pl JOIN t_planinclusions pin ON pin.PlanId = pl.PlanInclusionId
+    ) ON Data, Talktime, TextMessages INTO NAME InclusionType VALUE InclusionValue
 ),
-SourceTable AS (
-    SELECT PlansId, PlansType, PlanName, 'Data' AS InclusionType, Data AS InclusionValue FROM PlanDetails
-    UNION ALL
-    SELECT PlansId, PlansType, PlanName, 'Talktime' AS InclusionType, Talktime AS InclusionValue FROM PlanDetails
-    UNION ALL
-    SELECT PlansId, PlansType, PlanName, 'TextMessages' AS InclusionType, TextMessages AS InclusionValue FROM PlanDetails
-),
-PivotedPlans AS (
-    PIVOT SourceTable ON InclusionType IN ('Data', 'Talktime', 'TextMessages') USING max(InclusionValue) GROUP BY PlansId, PlansType, PlanName
+wide AS (
+    PIVOT long_form ON InclusionType IN ('Data', 'Talktime', 'TextMessages') USING max(InclusionValue)
+    GROUP BY PlansId, PlansType, PlanName
 )
-SELECT pp.*, COUNT(DISTINCT sd.SimCustomerId) AS TotalCustomers,
-    round(AVG({_age('c.DateOfBirth')}), 4) AS AvgCustomerAge,
-    CAST(SUM(CASE WHEN o.OrderStatus = 'Shipped' THEN 1 ELSE 0 END) AS BIGINT) AS TotalShippedOrders,
-    round(AVG(bi.DataUsed), 4) AS AvgDataUsed,
-    round(AVG(bi.Tax), 4) AS AvgTax
-FROM PivotedPlans pp
-LEFT JOIN t_simdata sd ON pp.PlansId = sd.SimPlanNumber
-LEFT JOIN t_customer c ON sd.SimCustomerId = c.CustomerId
-LEFT JOIN t_orders o ON c.CustomerId = o.OrderCustomerId
-LEFT JOIN t_phonenumber pn ON sd.SimAccountNumber = pn.AccountNumber
-LEFT JOIN t_billinginformation bi ON pn.PhoneBillNumber = bi.BillNumber
-GROUP BY pp.PlansId, pp.PlansType, pp.PlanName, pp.Data, pp.Talktime, pp.TextMessages
+SELECT w.PlansId, w.PlansType, w.PlanName, w.Data, w.Talktime, w.TextMessages,
+       count(DISTINCT s.SimCustomerId) AS TotalCustomers,
+       round(avg({_years('cu.DateOfBirth')}), 4) AS AvgCustomerAge,
+       CAST(count(*) FILTER (WHERE od.OrderStatus = '{SHIPPED}') AS BIGINT) AS TotalShippedOrders,
+       round(avg(b.DataUsed), 4) AS AvgDataUsed,
+       round(avg(b.Tax), 4) AS AvgTax
+FROM wide w
+LEFT JOIN t_simdata s ON s.SimPlanNumber = w.PlansId
+LEFT JOIN t_customer cu ON cu.CustomerId = s.SimCustomerId
+LEFT JOIN t_orders od ON od.OrderCustomerId = cu.CustomerId
+LEFT JOIN t_phonenumber ph ON ph.AccountNumber = s.SimAccountNumber
+LEFT JOIN t_billinginformation b ON b.BillNumber = ph.PhoneBillNumber
+GROUP BY 1, 2, 3, 4, 5, 6
 """
 
 SQL["req2_08"] = """
-SELECT c.CustomerId, c.CustomerName, sd.SimNumber, p.PlanName, bi.IncludedData, bi.DataUsed,
-    round((SELECT AVG(DataUsed) FROM t_billinginformation
-     WHERE BillNumber IN (SELECT PhoneBillNumber FROM t_phonenumber
-         WHERE AccountNumber IN (SELECT SimAccountNumber FROM t_simdata WHERE SimCustomerId = c.CustomerId))), 4) AS AvgDataUsed,
-    (SELECT COUNT(*) FROM t_callrecords cr JOIN t_phonenumber pn ON cr.CallAccountNumber = pn.AccountNumber
-     WHERE pn.AccountNumber = sd.SimAccountNumber
-       AND date_diff('second', cr.CallStartTime, cr.CallEndTime) >
-           (SELECT AVG(date_diff('second', CallStartTime, CallEndTime)) FROM t_callrecords)) AS LongCalls,
-    (SELECT OrderStatus FROM t_orders WHERE OrderCustomerId = c.CustomerId ORDER BY OrderId DESC LIMIT 1) AS LatestOrderStatus
-FROM t_customer c
-JOIN t_simdata sd ON c.CustomerId = sd.SimCustomerId
-JOIN t_plans p ON sd.SimPlanNumber = p.PlansId
-JOIN t_phonenumber pn ON sd.SimAccountNumber = pn.AccountNumber
-JOIN t_billinginformation bi ON pn.PhoneBillNumber = bi.BillNumber
-WHERE c.CustomerId IN (SELECT SimCustomerId FROM t_simdata GROUP BY SimCustomerId ORDER BY COUNT(*) DESC, SimCustomerId LIMIT 5)
-  AND bi.DataUsed > (SELECT AVG(DataUsed) FROM t_billinginformation)
+WITH busiest AS (
+    SELECT SimCustomerId FROM t_simdata GROUP BY 1 ORDER BY count(*) DESC, SimCustomerId LIMIT 5
+),
+mean_call AS (SELECT avg(date_diff('second', CallStartTime, CallEndTime)) AS secs FROM t_callrecords)
+SELECT cu.CustomerId, cu.CustomerName, s.SimNumber, pl.PlanName, b.IncludedData, b.DataUsed,
+       round((SELECT avg(b2.DataUsed) FROM t_billinginformation b2
+              WHERE b2.BillNumber IN (SELECT ph2.PhoneBillNumber FROM t_phonenumber ph2
+                                      JOIN t_simdata s2 ON s2.SimAccountNumber = ph2.AccountNumber
+                                      WHERE s2.SimCustomerId = cu.CustomerId)), 4) AS AvgDataUsed,
+       (SELECT count(*) FROM t_callrecords cl JOIN t_phonenumber ph3 ON ph3.AccountNumber = cl.CallAccountNumber
+         WHERE ph3.AccountNumber = s.SimAccountNumber
+           AND date_diff('second', cl.CallStartTime, cl.CallEndTime) > (SELECT secs FROM mean_call)) AS LongCalls,
+       (SELECT arg_max(od.OrderStatus, od.OrderId) FROM t_orders od WHERE od.OrderCustomerId = cu.CustomerId) AS LatestOrderStatus
+FROM t_simdata s
+JOIN t_customer cu ON cu.CustomerId = s.SimCustomerId
+JOIN t_plans pl ON pl.PlansId = s.SimPlanNumber
+JOIN t_phonenumber ph ON ph.AccountNumber = s.SimAccountNumber
+JOIN t_billinginformation b ON b.BillNumber = ph.PhoneBillNumber
+WHERE cu.CustomerId IN (SELECT SimCustomerId FROM busiest)
+  AND b.DataUsed > (SELECT avg(DataUsed) FROM t_billinginformation)
 """
 
 
