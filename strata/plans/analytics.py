@@ -1,7 +1,7 @@
 """The reference's business queries (REQ1_01-REQ1_22, REQ2_01-REQ2_08) as DataFrame plans.
 
 Each function takes (spark, sf_dir) and returns a lazy DataFrame.  Choices that
-differ from T-SQL defaults follow SURVEY 2.15: true division and double
+differ from the source dialect's defaults follow SURVEY 2.15: true division and double
 averages, case-insensitive status compare, NULLs last in descending orders,
 the key as the last sort column wherever ties would make a result arbitrary.
 Money sums are taken in decimal(18,2) so they are exact; averages are
