@@ -232,3 +232,13 @@ def test_text_helpers(spark):
 def test_categorical_domain_check(spark):
     df = spark.createDataFrame([("prepaid",), ("eSIM",), (None,), ("bogus",)], "SimType string")
     assert rows(ld.out_of_domain(df, "SimType", ["prepaid", "eSIM", "physical"])) == [("bogus",)]
+
+
+def test_presentation_order(spark):
+    from strata.plans.analytics import presented
+    from tests.conftest import SF_SMALL
+
+    got = [r["total_talktime_minutes"] for r in presented(spark, SF_SMALL, "req1_01").collect()]
+    assert got == sorted(got)
+    lv = [(r["Level"], r["DepartmentId"]) for r in presented(spark, SF_SMALL, "req2_05").collect()]
+    assert lv == sorted(lv)
