@@ -44,7 +44,7 @@ def add_months(ts: Column | str, months: int) -> Column:
 
 def parse_datetime(c: Column | str) -> Column:
     """DAT8 parse of 'yyyy-MM-dd HH:mm:ss'."""
-    return F.to_timestamp(_c(c), "yyyy-MM-dd HH:mm:ss")
+    return F.to_timestamp_ntz(_c(c), F.lit("yyyy-MM-dd HH:mm:ss"))
 
 
 def render_datetime(c: Column | str) -> Column:

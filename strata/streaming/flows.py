@@ -123,12 +123,18 @@ def rollup_stream(
     batch and the reader keeps the newest value per group.  Windows older
     than the watermark are dropped from state.
     """
-    t = stream.withColumn("_et", F.col(ts_col).cast("timestamp"))
+    # Watermarks need TIMESTAMP; the wall-clock TIMESTAMP_NTZ is taken as a UTC instant
+    # (and the window start mapped back) so day windows do not move with the session zone.
+    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    t = stream.withColumn("_et", F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), tz))
     agg = (
         t.withWatermark("_et", delay)
         .groupBy(F.window("_et", window).alias("w"), *dims)
         .agg(F.sum(F.col(metric).cast("decimal(18,2)")).alias(metric), F.count(F.lit(1)).alias("rows"))
-        .select(F.to_date(F.col("w.start")).alias("day"), *dims, F.col(metric).cast("double").alias(metric), "rows")
+        .select(
+            F.to_date(F.to_utc_timestamp(F.col("w.start"), tz)).alias("day"),
+            *dims, F.col(metric).cast("double").alias(metric), "rows",
+        )
     )
     return (
         agg.writeStream.outputMode("update")

@@ -97,6 +97,10 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     spark = local_session()
+    import os
+
+    if os.environ.get("STRATA_CHECK_TZ"):  # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["STRATA_CHECK_TZ"])
     qs, sqls = queries(), oracle_sql()
     con = duck(sf_dir)
     bad = 0
