@@ -52,7 +52,12 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 def commit(df: DataFrame, base: str, version: int, as_of: str, watermark: str | None = None) -> None:
     """Write version ``version`` then record it (the commit row makes it visible)."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{base}/data/v={version}")
+    writer = df.write.mode("overwrite")
+    if "flag" in df.columns:
+        # current rows and history in separate folders: the next run's merge reads
+        # only flag=1 (partition pruning); history is carried over without a shuffle
+        writer = writer.partitionBy("flag")
+    writer.parquet(f"{base}/data/v={version}")
     row = spark.createDataFrame([(version, as_of, watermark)], "version long, committed_at string, watermark string").select(
         F.col("version"), F.col("committed_at").cast("timestamp_ntz"), F.col("watermark").cast("timestamp_ntz")
     )
