@@ -39,12 +39,41 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    try:
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(jpath).getLength())
+    except Exception:  # unknown size: no spreading
+        return 0
+
+
+def spread_if_undersplit(df: DataFrame, path: str) -> DataFrame:
+    """Spread a large input that arrives in fewer splits than there are cores.
+
+    A Parquet row group cannot be split, so a big single-row-group file is
+    one scan task and every broadcast join above it runs in that one task.
+    Above ``strata.spread.minBytes`` (default 8 MB) such an input is
+    repartitioned round-robin to the default parallelism.  Inputs already in
+    many splits (any real warehouse table) are left alone.
+    """
+    spark = df.sparkSession
+    min_bytes = int(spark.conf.get("strata.spread.minBytes", str(8 << 20)))
+    cores = spark.sparkContext.defaultParallelism
+    if cores <= 1 or _input_bytes(spark, path) < min_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """SRC1 full scan with the declared schema.  Parquet keeps column pruning and filter pushdown."""
     reader = spark.read
     if name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return reader.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    return spread_if_undersplit(reader.parquet(path), path)
 
 
 class Tables:
