@@ -20,9 +20,13 @@ T0, T1, T2 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
 SCHEMA = "nid long, sname string, amount double"
 
 
+def _none_first(row):
+    return tuple((v is not None, v if v is not None else 0) for v in row)
+
+
 def rows(df, *cols):
     cols = cols or df.columns
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_none_first)
 
 
 # ------------------------------------------------------------ versions
@@ -242,3 +246,45 @@ def test_presentation_order(spark):
     assert got == sorted(got)
     lv = [(r["Level"], r["DepartmentId"]) for r in presented(spark, SF_SMALL, "req2_05").collect()]
     assert lv == sorted(lv)
+
+
+# ------------------------------------------------------------ properties over random change sets
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    base=st.dictionaries(st.integers(0, 40), st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3)), min_size=1, max_size=25),
+    edits=st.dictionaries(st.integers(0, 60), st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3)), max_size=25),
+)
+def test_version_invariants_on_random_change_sets(spark, base, edits):
+    schema = "nid long, sname string, amount double"
+    v0_rows = [(k, s, float(a)) for k, (s, a) in base.items()]
+    merged = dict(base)
+    merged.update(edits)
+    v1_rows = [(k, s, float(a)) for k, (s, a) in merged.items()]
+    v0 = spark.createDataFrame(v0_rows, schema)
+    v1 = spark.createDataFrame(v1_rows, schema)
+    out = vs.scd2_compare(vs.initial_load(v0, T0), v1, "nid", T1)
+    _invariants(out, v1)
+    changed = {k for k in base if k in edits and edits[k] != base[k]}
+    assert out.filter("flag = 0").count() == len(changed)
+    hashed = vs.scd2_hash(vs.initial_load(v0, T0, hash_cols=["sname", "amount"]), v1, "nid", ["sname", "amount"], T1)
+    assert rows(hashed.drop("row_hash")) == rows(out)
+
+
+def test_batch_upsert_equals_stream_upsert(spark, tmp_path):
+    from strata.plans import stream_queries as sq
+    from strata.sources.tables import read_table
+    from tests.conftest import SF_SMALL
+
+    ev = read_table(spark, SF_SMALL, "events")
+    incoming = ld.latest_per_key(
+        ev.select(F.col("user_id").alias("nid"), F.col("event_type").alias("sname"), F.col("ts").alias("last_modified"), "event_id"),
+        "nid", ["last_modified", "event_id"],
+    )
+    empty = spark.createDataFrame([], "nid long, sname string, dw_insert_date timestamp_ntz, dw_update_date timestamp_ntz")
+    batch = ld.upsert(empty, incoming, "nid", ["sname"], T1).select("nid", "sname")
+    stream = sq.strm3_upsert(spark, SF_SMALL).select("nid", "sname")
+    assert rows(batch) == rows(stream)
