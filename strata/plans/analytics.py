@@ -122,11 +122,18 @@ def req1_06(spark: SparkSession, d: str) -> DataFrame:
         .join(pn, F.col("d.SimAccountNumber") == F.col("p.AccountNumber"), "left")
         .join(ca, F.col("p.AccountNumber") == F.col("ca.CallAccountNumber"), "left")
     )
-    # group size is bounded: about 15 customers per salesperson at any scale
-    names = F.sort_array(F.collect_list("c.CustomerName"))
-    return j.groupBy(F.col("e.Employee_Name").alias("Employee_Name")).agg(
+    # The list repeats a name once per joined row (SIMs x calls).  Rows are first
+    # counted per (employee, name) - partial aggregation absorbs a hot account - so
+    # each employee collects one (name, count) pair per customer (about 15 at any
+    # scale) instead of one entry per row; repeats are expanded only in the string.
+    pairs = j.groupBy(F.col("e.Employee_Name").alias("Employee_Name"), F.col("c.CustomerName").alias("_name")).agg(
+        F.count("c.CustomerName").alias("_n"), F.sum("ca.CallDuration").alias("_secs")
+    )
+    listed = F.sort_array(F.collect_list(F.when(F.col("_name").isNotNull(), F.struct("_name", "_n"))))
+    names = F.flatten(F.transform(listed, lambda p: F.array_repeat(p["_name"], p["_n"].cast("int"))))
+    return pairs.groupBy("Employee_Name").agg(
         F.when(F.size(names) > 0, F.array_join(names, ", ")).alias("customer_names"),
-        F.sum("ca.CallDuration").alias("total_call_duration_seconds"),
+        F.sum("_secs").alias("total_call_duration_seconds"),
     )
 
 
@@ -152,7 +159,7 @@ def req1_07(spark: SparkSession, d: str) -> DataFrame:
 def req1_08(spark: SparkSession, d: str) -> DataFrame:
     """Distinct customers having a call whose duration is among those of at least 1000 s."""
     m = Model(spark, d)
-    durations = m.callrecords.filter(F.col("CallDuration") >= 1000).select(F.col("CallDuration").alias("_d"))
+    durations = m.callrecords.filter(F.col("CallDuration") >= 1000).select(F.col("CallDuration").alias("_d")).distinct()
     j = _customer_calls(m).join(durations, F.col("r.CallDuration") == F.col("_d"), "left_semi")
     return j.select(F.col("c.CustomerName").alias("CustomerName"), F.col("c.CustomerId").alias("id")).distinct()
 

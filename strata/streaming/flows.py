@@ -16,7 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -94,10 +94,15 @@ def upsert_stream(stream: DataFrame, key: str, value_cols: Sequence[str], order_
     """STRM3: continuous upsert.  Each batch keeps the last version per key, then logs it."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order_cols])
-        last = batch.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
-        first = batch.groupBy(key).agg(F.min(order_cols[0]).alias("_first_seen"))
-        _write_batch_partition(last.join(first, key).select(key, *value_cols, *order_cols, "_first_seen"), log_path, batch_id)
+        # last version per key and first-seen time in one aggregate (map-side combine,
+        # so a key with many versions in the batch does not land whole in one task)
+        order = F.struct(*[F.col(c) for c in order_cols])
+        last = batch.groupBy(key).agg(
+            F.max_by(F.struct(*[F.col(c) for c in [*value_cols, *order_cols]]), order).alias("_last"),
+            F.min(order_cols[0]).alias("_first_seen"),
+        )
+        rows = last.select(key, *[F.col(f"_last.{c}").alias(c) for c in [*value_cols, *order_cols]], "_first_seen")
+        _write_batch_partition(rows, log_path, batch_id)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
