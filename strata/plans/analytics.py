@@ -656,10 +656,13 @@ def req2_08(spark: SparkSession, d: str) -> DataFrame:
     ).distinct()
     bi2 = m.billinginformation
     avg_bill = bills.join(bi2, bills._bill == bi2.BillNumber).groupBy("_cust").agg(F.avg("DataUsed").alias("AvgDataUsed"))
-    # SUB3: calls longer than the mean call, per account
+    # SUB3: calls longer than the mean call, per account - only the accounts of the
+    # top customers' SIMs are aggregated (semi join), not every account's calls
     secs = F.timestamp_diff("SECOND", F.col("CallStartTime"), F.col("CallEndTime"))
+    top_accounts = m.simdata.join(top5, F.col("SimCustomerId") == top5._top, "left_semi").select(F.col("SimAccountNumber").alias("_ta"))
     long_calls = (
-        cr.join(pn3.select(F.col("AccountNumber").alias("_acct")), cr.CallAccountNumber == F.col("_acct"))
+        cr.join(top_accounts, cr.CallAccountNumber == F.col("_ta"), "left_semi")
+        .join(pn3.select(F.col("AccountNumber").alias("_acct")), cr.CallAccountNumber == F.col("_acct"))
         .crossJoin(F.broadcast(avg_secs))
         .filter(secs > F.col("_avg_secs"))
         .groupBy("_acct")
