@@ -108,6 +108,27 @@ def global_rank(
     return global_ranks(df, [(order, kind, out)], n_parts, materialize_input)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _bucketed(df: DataFrame, order: Order, n: int) -> DataFrame:
+    """Rows with a ``_pid`` column whose values follow the ordering, clustered by ``_pid``.
+
+    For one ascending numeric column the n-1 quantile boundaries (a list bounded
+    by n, read on the driver) give a bucket expression; hash-partitioning on it
+    lets the per-bucket window reuse that partitioning (one shuffle).  Other
+    orderings fall back to range partitioning plus the partition id (two).
+    """
+    if len(order) == 1 and order[0][1] and dict(df.dtypes).get(order[0][0]) in _NUMERIC:
+        key = order[0][0]
+        bounds = sorted(set(df.approxQuantile(key, [i / n for i in range(1, n)], 0.001)))
+        bucket = F.lit(0)
+        for b in bounds:
+            bucket = bucket + F.coalesce((F.col(key) > F.lit(b)).cast("int"), F.lit(0))
+        return df.withColumn("_pid", bucket.cast("int")).repartition(n, "_pid")
+    return df.repartitionByRange(n, *_sort_exprs(order)).withColumn("_pid", F.spark_partition_id())
+
+
 def global_lag_lead(
     df: DataFrame,
     order: Order,
@@ -117,13 +138,13 @@ def global_lag_lead(
 ) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` (LAG / LEAD by one row) over a unique ordering.
 
-    Rows are range-partitioned on the ordering; inside a partition the
+    Rows are split into ordered buckets (``_bucketed``); inside a bucket the
     ordinary window gives the neighbours, and the first / last row of each
-    partition takes its neighbour from the adjacent non-empty partition.
+    bucket takes its neighbour from the adjacent non-empty bucket.
     """
     sort = _sort_exprs(order)
     n = _partitions(df, n_parts)
-    ranged = df.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
+    ranged = _bucketed(df, order, n)
     w = Window.partitionBy("_pid").orderBy(*sort)
     ranged = ranged.withColumn("_rn", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_pid")))
     for c in columns:
