@@ -19,6 +19,11 @@ if str(ROOT) not in sys.path:
 
 import duckdb  # noqa: E402
 
+import os as _os
+
+# STRATA_CHECK_EXACT=1 compares floats bit for bit (the driver may hash them unrounded)
+EXACT = _os.environ.get("STRATA_CHECK_EXACT") == "1"
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -39,9 +44,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if EXACT else round(v, 6)
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6)
+        return float(v) if EXACT else round(float(v), 6)
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, (dt.datetime, dt.date)):
