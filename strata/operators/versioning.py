@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.protect import row_hash
+from ..sources.tables import current_hash_scan, rows_for_keys
 
 # Open end of a current version (quirk 9 in SURVEY: one default) and the
 # change-report labels of the hash job ("not modified" / "modified").
@@ -110,7 +111,7 @@ def _merge(
     if source_is_delta:
         delta_keys = source.select(key).distinct()
         history = history.unionByName(current.join(delta_keys, key, "left_anti").select(*out_cols))
-        current = current.join(delta_keys, key, "left_semi")
+        current = rows_for_keys(current, delta_keys, key)
     current = current.alias("t")
     src = source.alias("s")
     j = current.join(src, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
@@ -211,7 +212,7 @@ def change_report(target: DataFrame, source: DataFrame, key: str, hash_cols: Seq
 
     Reads only (key, hash, flag) of the target (SRC4).
     """
-    current = target.filter(F.col("flag") == 1).select(key, F.col("row_hash").alias("ChecksumColonne"))
+    current = current_hash_scan(target, key).select(key, F.col("row_hash").alias("ChecksumColonne"))
     src = source.select(key, row_hash(source, hash_cols).alias("NouveauChecksum"))
     j = src.join(current, key, "inner")
     label = F.when(F.col("NouveauChecksum") == F.col("ChecksumColonne"), F.lit(LABEL_SAME)).otherwise(F.lit(LABEL_CHANGED))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators.hierarchy import walk
-from ..operators.joins import latest_by, null_aware_anti, range_top1, top_keys_by_count
+from ..operators.joins import any_one, latest_by, null_aware_anti, range_top1, top_keys_by_count
 from ..operators.windows import global_lag_lead, global_rank, global_ranks, materialize, share_of_total
 from ..session import AS_OF, AS_OF_YEAR
 from .model import Model
@@ -506,7 +506,9 @@ def req2_03(spark: SparkSession, d: str) -> DataFrame:
     orders_per_sp = c.join(o, c.CustomerId == o.OrderCustomerId).groupBy(F.col("CustomerSalesPersonId").alias("_sp")).agg(
         F.count_distinct("OrderId").alias("_orders")
     )
-    location = ew.join(w, "LocationId").groupBy(F.col("WorkEmployeeId").alias("_emp")).agg(F.min("LocationName").alias("PrimaryWorkLocation"))
+    location = any_one(ew.join(w, "LocationId"), "WorkEmployeeId", "LocationName", "PrimaryWorkLocation").withColumnRenamed(
+        "WorkEmployeeId", "_emp"
+    )
     j = g.join(orders_per_sp, g.SalesPersonId == orders_per_sp._sp, "left").join(location, g.IdEmployeeSalesPerson == location._emp, "left")
     return j.select(
         "SalesPersonId", F.col("Employee_Name").alias("SalespersonName"), "TotalCustomers",

@@ -19,7 +19,7 @@ from ..operators import loading as ld
 from ..operators import versioning as vs
 from ..operators.joins import null_aware_anti, top_keys_by_count
 from ..session import AS_OF
-from ..sources.tables import Tables
+from ..sources.tables import Tables, for_each_table
 from .model import Model
 
 T0 = "2024-06-01 00:00:00"
@@ -110,10 +110,13 @@ def load4_consolidate(spark: SparkSession, d: str) -> DataFrame:
     """Six retail tables cleaned into staging; one row per staged table with its row count."""
     m = Model(spark, d)
     frames = {"trx": m.trx, "facturation": m.facturation, "shop": m.shop, "city": m.city, "product": m.product, "recharge": m.recharge}
-    parts = [
-        cl.clean(df, name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(f"stge_{name}").alias("table_name"), "row_count")
-        for name, df in frames.items()
-    ]
+    staged = for_each_table(
+        frames,
+        lambda name: cl.clean(frames[name], name).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(f"stge_{name}").alias("table_name"), "row_count"
+        ),
+    )
+    parts = list(staged.values())
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

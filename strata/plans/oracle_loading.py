@@ -6,7 +6,7 @@ run, which keys an upsert touches, ...) rather than from the Spark plans.
 
 from __future__ import annotations
 
-from .loading_queries import DEMO_KEY, EXPECTED_TABLES, T0, T1, TRACK_DAY  # noqa: F401
+from .loading_queries import EXPECTED_TABLES, T0, T1, TRACK_DAY
 from .model import with_entities
 
 HIGH = "9999-12-31 00:00:00"
