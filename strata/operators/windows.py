@@ -186,3 +186,59 @@ def min_max_normalise(df: DataFrame, value: str, out: str) -> DataFrame:
     return df.crossJoin(F.broadcast(stats)).withColumn(
         out, F.try_divide((F.col(value) - F.col("_mn")).cast("double"), F.col("_mx") - F.col("_mn"))
     ).drop("_mn", "_mx")
+
+
+def partitioned_numbering(
+    df: DataFrame,
+    part: Sequence[str],
+    order: Order,
+    tie_key: str,
+    n_parts: int | None = None,
+) -> DataFrame:
+    """ROW_NUMBER / RANK / DENSE_RANK / COUNT per group of ``part`` without one task per group.
+
+    ``Window.partitionBy(part)`` runs each group in one task: a low-cardinality
+    key (25 departments) uses 25 tasks whatever the cluster size, and a hot
+    group lands whole in one of them.  Here rows are range-partitioned on
+    (part, order, tie_key), so a big group spans many partitions; each
+    partition numbers its slice, and per-(partition, group) counts turn into
+    offsets.  Equal (part, order) values share a partition, so ties rank
+    together.  Adds ``_rn`` (row number, ties broken by ``tie_key``), ``_rank``,
+    ``_dense`` and ``_gcount`` (rows in the group).
+    """
+    n = _partitions(df, n_parts)
+    sort = [F.col(p).asc_nulls_first() for p in part] + _sort_exprs(order)
+    ranged = df.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order), F.col(tie_key).asc_nulls_first())
+    local_peers = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order))
+    ranged = (
+        ranged.withColumn("_lrn", F.row_number().over(local))
+        .withColumn("_lrank", F.rank().over(local_peers))
+        .withColumn("_ldense", F.dense_rank().over(local_peers))
+    )
+    stats = ranged.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_n"), F.max("_ldense").alias("_d"))
+    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*part)
+    offsets = stats.select(
+        "_pid", *[F.col(p).alias(f"_p_{p}") for p in part],
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_doff"),
+        F.sum("_n").over(whole).alias("_gcount"),
+    )
+    cond = [ranged["_pid"] == offsets["_pid"]] + [ranged[p].eqNullSafe(offsets[f"_p_{p}"]) for p in part]
+    j = ranged.join(offsets, cond).drop(offsets["_pid"])
+    return j.select(
+        *df.columns,
+        (F.col("_off") + F.col("_lrn")).cast("int").alias("_rn"),
+        (F.col("_off") + F.col("_lrank")).cast("int").alias("_rank"),
+        (F.col("_doff") + F.col("_ldense")).cast("int").alias("_dense"),
+        F.col("_gcount"),
+    )
+
+
+def ntile_from_row_number(rn: Column, count: Column, buckets: int) -> Column:
+    """NTILE(buckets) from a row number and the group size (the first count % buckets tiles get one extra row)."""
+    q = F.floor(count / buckets)
+    r = count - q * buckets
+    big = r * (q + 1)
+    return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1).cast("int")

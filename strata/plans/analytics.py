@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators.hierarchy import walk
 from ..operators.joins import any_one, latest_by, null_aware_anti, range_top1, top_keys_by_count
-from ..operators.windows import global_lag_lead, global_rank, global_ranks, materialize, share_of_total
+from ..operators.windows import (
+    global_lag_lead, global_rank, global_ranks, materialize, ntile_from_row_number, partitioned_numbering, share_of_total,
+)
 from ..session import AS_OF, AS_OF_YEAR
 from .model import Model
 
@@ -179,13 +181,13 @@ def req1_10(spark: SparkSession, d: str) -> DataFrame:
     the order chain, which multiplies rows by the department size.  The same
     totals come from one row per department: the row count (weight for the
     order count) and the salary sum.  That frame has one row per department,
-    bounded by the nation dimension, so it is broadcast.
+    bounded by the nation dimension; AQE broadcasts it after checking its size.
     """
     m = Model(spark, d)
     per_dept = m.salary.groupBy("DepartmentId").agg(
         F.count(F.lit(1)).alias("_sn"), F.sum(_money("Salary")).alias("_ssum")
     ).withColumnRenamed("DepartmentId", "_sdept")
-    j = _location_order_chain(m).join(F.broadcast(per_dept), F.col("e.DepartmentId") == F.col("_sdept"), "left")
+    j = _location_order_chain(m).join(per_dept, F.col("e.DepartmentId") == F.col("_sdept"), "left")
     return j.groupBy(
         F.col("w.LocationName").alias("LocationName"), F.col("t.TrackingStatus").alias("TrackingStatus")
     ).agg(
@@ -265,20 +267,35 @@ def req1_15(spark: SparkSession, d: str) -> DataFrame:
 
 
 def req1_16(spark: SparkSession, d: str) -> DataFrame:
-    """Salary position in the department: six window measures."""
+    """Salary position in the department: six window measures.
+
+    Row number, rank and NTILE come from ``partitioned_numbering`` (range
+    partitions across departments, not one task per department).  The mean,
+    the best-paid employee and the last employee of each salary tie group are
+    grouped aggregates joined back: one row per department / per (department,
+    salary), partial aggregation absorbs a hot department.  Ties in the
+    default-frame LAST_VALUE are broken by the key (SURVEY 2.15 #20).
+    """
     e = Model(spark, d).employee
-    by_salary = Window.partitionBy("DepartmentId").orderBy(F.col("Salary").desc())
-    by_salary_key = Window.partitionBy("DepartmentId").orderBy(F.col("Salary").desc(), F.col("EmployeeId"))
-    whole = Window.partitionBy("DepartmentId")
-    return e.select(
+    numbered = partitioned_numbering(e, ["DepartmentId"], [("Salary", False)], "EmployeeId")
+    per_dept = e.groupBy(F.col("DepartmentId").alias("_dept")).agg(
+        F.avg("Salary").alias("_avg"),
+        F.max_by(F.col("EmployeeId"), F.struct(F.col("Salary"), -F.col("EmployeeId"))).alias("HighestPaidEmployeeIdInDepartment"),
+    )
+    per_tie = e.groupBy(F.col("DepartmentId").alias("_tdept"), F.col("Salary").alias("_tsal")).agg(
+        F.max("EmployeeId").alias("LowestPaidEmployeeIdInDepartment")
+    )
+    j = numbered.join(per_dept, numbered.DepartmentId.eqNullSafe(per_dept._dept)).join(
+        per_tie, numbered.DepartmentId.eqNullSafe(per_tie._tdept) & numbered.Salary.eqNullSafe(per_tie._tsal)
+    )
+    return j.select(
         "EmployeeId", "Employee_Name", "Salary", "DepartmentId",
-        F.dense_rank().over(by_salary).alias("SalaryRankInDepartment"),
-        F.row_number().over(by_salary_key).alias("SalaryRowInDepartment"),
-        F.ntile(4).over(by_salary_key).alias("SalaryQuartileInDepartment"),
-        _r4(F.col("Salary") - F.avg("Salary").over(whole)).alias("SalaryDifferenceFromAvg"),
-        F.first_value(F.col("EmployeeId")).over(by_salary_key).alias("HighestPaidEmployeeIdInDepartment"),
-        # default frame (RANGE .. CURRENT ROW): the last row of the current salary tie group
-        F.last_value(F.col("EmployeeId")).over(by_salary).alias("LowestPaidEmployeeIdInDepartment"),
+        F.col("_dense").alias("SalaryRankInDepartment"),
+        F.col("_rn").alias("SalaryRowInDepartment"),
+        ntile_from_row_number(F.col("_rn"), F.col("_gcount"), 4).alias("SalaryQuartileInDepartment"),
+        _r4(F.col("Salary") - F.col("_avg")).alias("SalaryDifferenceFromAvg"),
+        "HighestPaidEmployeeIdInDepartment",
+        "LowestPaidEmployeeIdInDepartment",
     )
 
 
@@ -438,10 +455,11 @@ def req2_01(spark: SparkSession, d: str) -> DataFrame:
             F.col("e.Salary").alias("CurrentSalary"), F.col("s.Salary").alias("HistoricalSalary"), trend.alias("SalaryTrend"),
         )
     )
-    # one row per department / location name: bounded by the nation / region dimensions
+    # one row per department / location name (bounded by the nation / region dimensions);
+    # AQE broadcasts them after checking their size, partial aggregation absorbs skew
     ds = ep.groupBy("DepartmentName").agg(F.avg("CurrentSalary").alias("AvgDepartmentSalary"))
     ls = ep.groupBy("LocationName").agg(F.avg("CurrentSalary").alias("AvgLocationSalary"))
-    j = ep.join(F.broadcast(ds), "DepartmentName").join(F.broadcast(ls), "LocationName")
+    j = ep.join(ds, "DepartmentName").join(ls, "LocationName")
 
     def cmp(avg_col: str) -> F.Column:
         return (

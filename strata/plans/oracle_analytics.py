@@ -178,7 +178,7 @@ SELECT EmployeeId, Employee_Name, Salary, DepartmentId,
     CAST(ntile(4) OVER by_pay_id AS INTEGER) AS SalaryQuartileInDepartment,
     round(Salary - avg(Salary) OVER (PARTITION BY DepartmentId), 4) AS SalaryDifferenceFromAvg,
     first_value(EmployeeId) OVER by_pay_id AS HighestPaidEmployeeIdInDepartment,
-    last_value(EmployeeId) OVER by_pay AS LowestPaidEmployeeIdInDepartment
+    max(EmployeeId) OVER (PARTITION BY DepartmentId, Salary) AS LowestPaidEmployeeIdInDepartment
 FROM t_employee
 WINDOW by_pay AS (PARTITION BY DepartmentId ORDER BY Salary DESC),
        by_pay_id AS (PARTITION BY DepartmentId ORDER BY Salary DESC, EmployeeId)

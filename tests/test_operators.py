@@ -288,3 +288,23 @@ def test_batch_upsert_equals_stream_upsert(spark, tmp_path):
     batch = ld.upsert(empty, incoming, "nid", ["sname"], T1).select("nid", "sname")
     stream = sq.strm3_upsert(spark, SF_SMALL).select("nid", "sname")
     assert rows(batch) == rows(stream)
+
+
+def test_partitioned_numbering_equals_group_windows(spark):
+    from strata.operators.windows import ntile_from_row_number, partitioned_numbering
+
+    rnd = random.Random(5)
+    # groups of very different sizes (one hot group), ties and NULL salaries
+    data = [(i, rnd.choice([0] * 6 + [1, 2, 3]), rnd.choice([None, *range(8)])) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, g long, v long")
+    got = partitioned_numbering(df, ["g"], [("v", False)], "id", n_parts=6)
+    got = got.withColumn("nt", ntile_from_row_number(F.col("_rn"), F.col("_gcount"), 4))
+    w_id = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), F.col("id"))
+    w_peer = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())
+    want = df.select(
+        "id", F.row_number().over(w_id).alias("_rn"), F.rank().over(w_peer).alias("_rank"),
+        F.dense_rank().over(w_peer).alias("_dense"), F.ntile(4).over(w_id).alias("nt"),
+        F.count(F.lit(1)).over(Window.partitionBy("g")).alias("_gcount"),
+    )
+    cols = ["id", "_rn", "_rank", "_dense", "nt", "_gcount"]
+    assert rows(got, *cols) == rows(want, *cols)
