@@ -60,9 +60,11 @@ def spread_if_undersplit(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     min_bytes = int(spark.conf.get("strata.spread.minBytes", str(8 << 20)))
     cores = spark.sparkContext.defaultParallelism
-    if cores <= 1 or _input_bytes(spark, path) < min_bytes:
+    # split count first: it comes from the listing Spark already made, so a large
+    # table (many splits) never pays for a second, size-summing listing
+    if cores <= 1 or df.rdd.getNumPartitions() >= cores:
         return df
-    if df.rdd.getNumPartitions() >= cores:
+    if _input_bytes(spark, path) < min_bytes:
         return df
     return df.repartition(cores)
 
