@@ -220,7 +220,7 @@ FROM t_employee
 
 SQL["req1_20"] = f"""
 WITH trends AS (
-    SELECT year(cu.DateOfBirth) AS BirthYear, cu.Sex, od.OrderType, od.OrderStatus,
+    SELECT CAST(year(cu.DateOfBirth) AS INTEGER) AS BirthYear, cu.Sex, od.OrderType, od.OrderStatus,
            count(*) AS OrderCount, avg({_years('cu.DateOfBirth')}) AS AvgCustomerAge
     FROM t_orders od JOIN t_customer cu ON cu.CustomerId = od.OrderCustomerId
     GROUP BY 1, 2, 3, 4

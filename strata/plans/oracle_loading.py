@@ -167,7 +167,7 @@ FROM customer
 
 _TS_TEXT = "strftime(dinsertion, '%Y-%m-%d %H:%M:%S')"
 SQL["jsn1_to_json"] = f"""
-SELECT nid, to_json({{'nid': nid, 'nshopid': nshopid, 'dinsertion': {_TS_TEXT}, 'sbillerid': sbillerid, 'namount': namount}}) AS record
+SELECT nid, CAST(to_json({{'nid': nid, 'nshopid': nshopid, 'dinsertion': {_TS_TEXT}, 'sbillerid': sbillerid, 'namount': namount}}) AS VARCHAR) AS record
 FROM t_facturation
 """
 SQL["jsn2_default_field"] = f"SELECT nid, nshopid, {_TS_TEXT} AS dinsertion, sbillerid, namount, 'FACTURATION1' AS dataSource FROM t_facturation"
@@ -201,7 +201,7 @@ SQL["fn_call_times"] = """
 SELECT CallId, strftime(CallStartTime, '%H:%M:%S') AS StartClock,
        CAST(hour(CallStartTime) * 3600 + minute(CallStartTime) * 60 + second(CallStartTime) AS BIGINT) AS StartSecondOfDay,
        date_diff('second', CallStartTime, CallEndTime) AS Seconds,
-       year(CallStartTime) - 1990 AS YearsSince1990,
+       CAST(year(CallStartTime) - 1990 AS INTEGER) AS YearsSince1990,
        CallStartTime + INTERVAL 3 MONTH AS PlusThreeMonths,
        strftime(CallEndTime, '%Y-%m-%d %H:%M:%S') AS EndText,
        strftime(CallStartTime, '%Y%m%d') AS DayStamp,
@@ -224,7 +224,7 @@ SELECT EmployeeId, Employee_Name, SSN, CAST(Age AS DOUBLE) AS Age, DepartmentId,
 FROM (SELECT *, row_number() OVER (PARTITION BY EmployeeId ORDER BY SSN) AS rn FROM t_employee) x WHERE rn = 1
 """
 SQL["load3_clean_customer"] = """
-SELECT *, 2024 - year(DateOfBirth) AS Ages, year(DateOfBirth) AS BirthYear,
+SELECT *, CAST(2024 - year(DateOfBirth) AS INTEGER) AS Ages, CAST(year(DateOfBirth) AS INTEGER) AS BirthYear,
        '***-**-' || right(CAST(SocialSecurityNumber AS VARCHAR), 4) AS Masked_SSN
 FROM t_customer
 """
@@ -256,7 +256,7 @@ FROM t_plans
 """
 SQL["load3_clean_phonenumber"] = """
 SELECT *, left(CAST(PhoneNumber AS VARCHAR), greatest(length(CAST(PhoneNumber AS VARCHAR)) - 4, 0)) || '****' AS Masked_PhoneNumber,
-       left(CAST(PhoneNumber AS VARCHAR), 3) AS AreaCode, length(CAST(PhoneNumber AS VARCHAR)) AS NumberLength,
+       left(CAST(PhoneNumber AS VARCHAR), 3) AS AreaCode, CAST(length(CAST(PhoneNumber AS VARCHAR)) AS INTEGER) AS NumberLength,
        row_number() OVER (PARTITION BY PhoneNumber ORDER BY AccountNumber) > 1 AS IsDuplicate
 FROM t_phonenumber
 """

@@ -76,8 +76,8 @@ SQL = {
         "coalesce(value, 0.0) AS value, props FROM events"
     ),
     "strm4_shaping": (
-        "SELECT event_id, to_json({'event_id': event_id, 'ts': strftime(ts, '%Y-%m-%d %H:%M:%S'), 'user_id': user_id, "
-        "'event_type': event_type, 'value': value, 'dataSource': 'EVENTS1'}) AS record FROM events"
+        "SELECT event_id, CAST(to_json({'event_id': event_id, 'ts': strftime(ts, '%Y-%m-%d %H:%M:%S'), 'user_id': user_id, "
+        "'event_type': event_type, 'value': value, 'dataSource': 'EVENTS1'}) AS VARCHAR) AS record FROM events"
     ),
     "strm3_upsert": (
         "SELECT user_id AS nid, arg_max(event_type, (ts, event_id)) AS sname, min(ts) AS dw_insert_date, max(ts) AS dw_update_date "
