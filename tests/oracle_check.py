@@ -77,13 +77,35 @@ def rows_duck(con, sql: str) -> tuple[list[str], list[tuple]]:
     return [names[i].lower() for i in order], sorted(rows, key=_key)
 
 
+# Spark type name -> DuckDB type name, for the schema comparison
+SPARK_TO_DUCK = {
+    "tinyint": "TINYINT", "smallint": "SMALLINT", "int": "INTEGER", "bigint": "BIGINT", "float": "FLOAT",
+    "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP WITH TIME ZONE", "boolean": "BOOLEAN",
+}
+
+
+def types_spark(df) -> dict[str, str]:
+    return {c.lower(): SPARK_TO_DUCK.get(t, t.upper()) for c, t in df.dtypes}
+
+
+def types_duck(con, sql: str) -> dict[str, str]:
+    rel = con.sql(sql)
+    return {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark, sf_dir: str, name: str, query, sql: str, con=None) -> dict:
     con = con or duck(sf_dir)
     t0 = time.time()
-    sc, sr = rows_spark(query(spark, sf_dir))
+    df = query(spark, sf_dir)
+    sc, sr = rows_spark(df)
     t1 = time.time()
     dc, dr = rows_duck(con, sql)
     out = {"name": name, "spark_rows": len(sr), "oracle_rows": len(dr), "spark_sec": round(t1 - t0, 2)}
+    st, dt = types_spark(df), types_duck(con, sql)
+    out["types_match"] = st == dt
+    if not out["types_match"]:
+        out["type_diff"] = {c: (st.get(c), dt.get(c)) for c in set(st) | set(dt) if st.get(c) != dt.get(c)}
     out["columns_match"] = sc == dc
     out["values_match"] = sr == dr
     if not out["columns_match"]:
@@ -120,7 +142,7 @@ def main(argv: list[str]) -> int:
             bad += 1
             print(f"{name:32s} ERROR {type(exc).__name__}: {str(exc)[:400]}")
             continue
-        ok = r["columns_match"] and r["values_match"]
+        ok = r["columns_match"] and r["values_match"] and r["types_match"]
         bad += not ok
         print(f"{name:32s} {'OK ' if ok else 'BAD'} spark={r['spark_rows']} oracle={r['oracle_rows']} {r['spark_sec']}s"
               + ("" if ok else f" {dict((k, v) for k, v in r.items() if k not in ('name',))}"))

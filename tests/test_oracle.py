@@ -26,6 +26,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, SF_SMALL, name, QUERIES[name], SQL[name], con)
     assert r["columns_match"], r
+    assert r["types_match"], r
     assert r["values_match"], r
 
 
