@@ -39,13 +39,18 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_SIZES: dict[str, int] = {}
+
+
 def _input_bytes(spark: SparkSession, path: str) -> int:
-    try:
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(jpath).getLength())
-    except Exception:  # unknown size: no spreading
-        return 0
+    """Total file size under ``path``, once per path (binaryFile lists the files; content is not read)."""
+    if path not in _SIZES:
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            _SIZES[path] = int(files.agg(F.sum("length")).first()[0] or 0)
+        except Exception:  # unknown size: no spreading
+            _SIZES[path] = 0
+    return _SIZES[path]
 
 
 def spread_if_undersplit(df: DataFrame, path: str) -> DataFrame:
