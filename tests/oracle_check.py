@@ -128,6 +128,8 @@ def main(argv: list[str]) -> int:
 
     if os.environ.get("STRATA_CHECK_TZ"):  # results must not depend on the session time zone
         spark.conf.set("spark.sql.session.timeZone", os.environ["STRATA_CHECK_TZ"])
+    if os.environ.get("STRATA_CHECK_NO_AQE"):  # nor on adaptive execution
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     qs, sqls = queries(), oracle_sql()
     con = duck(sf_dir)
     bad = 0
