@@ -107,17 +107,53 @@ def upsert_stream(stream: DataFrame, key: str, value_cols: Sequence[str], order_
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def read_upserted(spark: SparkSession, log_path: str, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """Current table of an upsert log: the latest row per key, first-seen and last-update times."""
+def _compacted_path(log_path: str) -> str:
+    return f"{log_path.rstrip('/')}_compacted"
+
+
+def _effective_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The log as readers see it: the last compaction (if any) plus the batches after it.
+
+    Batches already folded into the compaction are skipped by partition pruning,
+    so reading cost does not grow with the length of the stream.
+    """
     log = spark.read.parquet(log_path)
+    try:
+        compacted = spark.read.parquet(_compacted_path(log_path))
+    except Exception:  # never compacted
+        return log
+    upto = compacted.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return log
+    return compacted.unionByName(log.filter(F.col("batch_id") > F.lit(upto)))
+
+
+def _upsert_fold(log: DataFrame, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     order = F.struct(*[F.col(c) for c in order_cols], F.col("batch_id"))
     return log.groupBy(key).agg(
-        *[F.max_by(F.col(c), order).alias(c) for c in value_cols],
-        F.min("_first_seen").alias("dw_insert_date"),
-        F.max(F.col(order_cols[0])).alias("dw_update_date"),
+        *[F.max_by(F.col(c), order).alias(c) for c in [*value_cols, *order_cols]],
+        F.min("_first_seen").alias("_first_seen"),
+        F.max("batch_id").alias("batch_id"),
     )
 
 
+def read_upserted(spark: SparkSession, log_path: str, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+    """Current table of an upsert log: the latest row per key, first-seen and last-update times."""
+    folded = _upsert_fold(_effective_log(spark, log_path), key, value_cols, order_cols)
+    return folded.select(
+        key, *value_cols, F.col("_first_seen").alias("dw_insert_date"), F.col(order_cols[0]).alias("dw_update_date")
+    )
+
+
+def compact_upsert_log(spark: SparkSession, log_path: str, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> None:
+    """Fold the upsert log into one row per key (checkpointed, then written as the new compaction)."""
+    from ..operators.windows import materialize
+
+    folded = materialize(_upsert_fold(_effective_log(spark, log_path), key, value_cols, order_cols))
+    upto = spark.read.parquet(log_path).agg(F.max("batch_id")).first()[0]
+    folded.withColumn("batch_id", F.lit(upto).cast("long")).write.mode("overwrite").parquet(_compacted_path(log_path))
+
+
 def rollup_stream(
     stream: DataFrame, ts_col: str, dims: Sequence[str], metric: str, log_path: str, checkpoint: str,
     window: str = "1 day", delay: str = "1 hour",
@@ -152,10 +188,23 @@ def rollup_stream(
 
 def read_latest_groups(spark: SparkSession, log_path: str, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
     """Fold an update-mode log: per group the values from the newest batch."""
-    log = spark.read.parquet(log_path)
+    log = _effective_log(spark, log_path)
     return log.groupBy(*group_cols).agg(*[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols])
 
 
+def compact_group_log(spark: SparkSession, log_path: str, group_cols: Sequence[str], value_cols: Sequence[str]) -> None:
+    """Fold an update-mode log into one row per group (checkpointed, then written as the new compaction)."""
+    from ..operators.windows import materialize
+
+    log = _effective_log(spark, log_path)
+    folded = log.groupBy(*group_cols).agg(
+        *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols], F.max("batch_id").alias("batch_id")
+    )
+    folded = materialize(folded)
+    upto = spark.read.parquet(log_path).agg(F.max("batch_id")).first()[0]
+    folded.withColumn("batch_id", F.lit(upto).cast("long")).write.mode("overwrite").parquet(_compacted_path(log_path))
+
+
 def first_insert_stream(stream: DataFrame, table_col: str, ts_col: str, log_path: str, checkpoint: str) -> StreamingQuery:
     """STRM7: always-current first insert per table and day (update mode)."""
     agg = stream.groupBy(F.col(table_col).alias("table_name"), F.to_date(F.col(ts_col)).alias("day")).agg(

@@ -88,6 +88,7 @@ def test_stream_multi_batch_upsert_and_replay(spark, tmp_dir):
         fl.await_done(fl.upsert_stream(s, "nid", ["sname"], ["last_modified", "event_id"], log, ck))
 
     run()
+    fl.compact_upsert_log(spark, log, "nid", ["sname"], ["last_modified", "event_id"])
     _land(spark, ev, landing, days[2:])
     run()  # restart from the checkpoint: only the new files are read
     batches = {r[0] for r in spark.read.parquet(log).select("batch_id").distinct().collect()}
@@ -111,6 +112,10 @@ def test_stream_rollup_matches_batch(spark, tmp_dir):
     _land(spark, ev, landing, days[:5])
     s = fl.file_stream(spark, landing, fl.EVENT_SCHEMA, max_files=1)
     fl.await_done(fl.rollup_stream(s, "ts", ["event_type"], "value", f"{tmp_dir}/log", f"{tmp_dir}/ck"))
+    before = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"]).collect()
+    fl.compact_group_log(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"])
+    after = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"]).collect()
+    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
     got = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"])
     sub = ev.filter(F.to_date("ts").isin(days[:5]))
     want = sub.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
