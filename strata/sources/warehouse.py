@@ -230,13 +230,16 @@ def run_bucketed_hash_load(
     hash_cols: list[str],
     as_of: str,
     buckets: int = 64,
+    method: str = "hash",
 ) -> list[int]:
-    """VER5 on a table partitioned by key bucket.
-
-    The changed keys come from a narrow comparison: the source's (key, row hash)
-    against the current rows' (key, row_hash) - only those columns of the target
-    are scanned (SRC4).  Source rows that are new or whose hash differs form
-    the delta; only the buckets they hash to are read, merged and replaced.
+    """VER5 (``method="hash"``) or VER3 (``method="compare"``) on a table partitioned by key bucket.
+
+    Hash: the changed keys come from a narrow comparison, the source's (key, row
+    hash) against the current rows' (key, row_hash) - only those columns of the
+    target are scanned (SRC4).  Compare: every non-key column of the current
+    rows is compared NULL-safe with the source.  Source rows that are new or
+    changed form the delta; only the buckets they hash to are read, merged
+    and replaced.
     """
     from ..functions.protect import row_hash
     from ..operators.windows import materialize
@@ -247,18 +250,33 @@ def run_bucketed_hash_load(
     except Exception:  # first run: empty target
         existing = None
     if existing is None:
-        new = vs.initial_load(source, as_of, hash_cols=hash_cols).withColumn("bucket", key_bucket(key, buckets))
+        new = vs.initial_load(source, as_of, hash_cols=hash_cols if method == "hash" else None)
+        new = new.withColumn("bucket", key_bucket(key, buckets))
         new.write.mode("overwrite").partitionBy("bucket").parquet(path)
         return list(range(buckets))
-    hashed = source.withColumn("_h", row_hash(source, hash_cols))
-    stored = current_hash_scan(existing, key).select(key, F.col("row_hash").alias("_old"))
-    delta = hashed.join(stored, key, "left").filter(~F.col("_h").eqNullSafe(F.col("_old"))).drop("_h", "_old")
+    if method == "hash":
+        hashed = source.withColumn("_h", row_hash(source, hash_cols))
+        stored = current_hash_scan(existing, key).select(key, F.col("row_hash").alias("_old"))
+        delta = hashed.join(stored, key, "left").filter(~F.col("_h").eqNullSafe(F.col("_old"))).drop("_h", "_old")
+    elif method == "compare":
+        data_cols = [c for c in source.columns if c != key]
+        cur = existing.filter(F.col("flag") == 1).select(key, *[F.col(c).alias(f"_o_{c}") for c in data_cols], F.lit(1).alias("_seen"))
+        differs = F.col("_seen").isNull()
+        for c in data_cols:
+            differs = differs | ~F.col(c).eqNullSafe(F.col(f"_o_{c}"))
+        delta = source.join(cur, key, "left").filter(differs).select(*source.columns)
+    else:
+        raise ValueError(method)
     delta = materialize(delta)
     touched = sorted(r[0] for r in delta.select(key_bucket(key, buckets).alias("b")).distinct().collect())
     if not touched:
         return []
     current = existing.filter(F.col("bucket").isin(touched)).drop("bucket")
-    merged = vs.scd2_hash(current, delta, key, hash_cols, as_of).withColumn("bucket", key_bucket(key, buckets))
+    if method == "hash":
+        merged = vs.scd2_hash(current, delta, key, hash_cols, as_of)
+    else:
+        merged = vs.scd2_compare(current, delta, key, as_of)
+    merged = merged.withColumn("bucket", key_bucket(key, buckets))
     merged = materialize(merged)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
     return touched

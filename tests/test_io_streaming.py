@@ -247,3 +247,19 @@ def test_bucketed_hash_load(spark, tmp_dir):
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
     # same input again: no changed key, nothing rewritten
     assert wh.run_bucketed_hash_load(spark, path, source_v1(spark, SF_SMALL), "c_custkey", HASH_COLS, "2024-07-01 00:00:00", buckets=32) == []
+
+
+def test_bucketed_compare_load(spark, tmp_dir):
+    from strata.plans.loading_queries import source_v0, source_v1, ver3_compare
+    from strata.sources import warehouse as wh
+
+    path = f"{tmp_dir}/dest_customer_c"
+    args = dict(key="c_custkey", hash_cols=[], buckets=32, method="compare")
+    wh.run_bucketed_hash_load(spark, path, source_v0(spark, SF_SMALL), as_of="2024-06-01 00:00:00", **args)
+    touched = wh.run_bucketed_hash_load(spark, path, source_v1(spark, SF_SMALL), as_of="2024-06-30 12:00:00", **args)
+    assert 0 < len(touched) <= 32
+    got = spark.read.parquet(path).drop("bucket")
+    want = ver3_compare(spark, SF_SMALL)
+    cols = sorted(want.columns)
+    assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+    assert wh.run_bucketed_hash_load(spark, path, source_v1(spark, SF_SMALL), as_of="2024-07-01 00:00:00", **args) == []
