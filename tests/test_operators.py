@@ -308,3 +308,31 @@ def test_partitioned_numbering_equals_group_windows(spark):
     )
     cols = ["id", "_rn", "_rank", "_dense", "nt", "_gcount"]
     assert rows(got, *cols) == rows(want, *cols)
+
+
+def test_source_helpers(spark):
+    from strata.sources import tables as tb
+
+    df = spark.createDataFrame(
+        [(1, "2024-01-01 00:00:00"), (5, "2024-02-01 00:00:00"), (9, "2024-03-01 00:00:00")], "nid long, ts string"
+    ).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    assert rows(tb.incremental_by_key(df, "nid", 4), "nid") == [(5,), (9,)]
+    assert rows(tb.incremental_by_time(df, "ts", "2024-01-15 00:00:00"), "nid") == [(5,), (9,)]
+    keys = spark.createDataFrame([(9,), (9,), (7,)], "nid long")
+    assert rows(tb.rows_for_keys(df, keys, "nid"), "nid") == [(9,)]
+    built = tb.for_each_table(["a", "b"], lambda n: df.filter(F.col("nid") > (1 if n == "a" else 5)))
+    assert {k: v.count() for k, v in built.items()} == {"a": 2, "b": 1}
+
+
+def test_seconds_of_day_ignores_session_zone(spark):
+    from strata.functions import dates as dt
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        got = []
+        for tz in ["UTC", "America/Los_Angeles", "Asia/Kolkata"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got.append(spark.range(1).select(dt.seconds_of_day(F.lit("01:02:03")).alias("s")).first()["s"])
+        assert got == [3723, 3723, 3723]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
