@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from strata.plans.registry import oracle_sql, queries
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
 
