@@ -11,7 +11,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from strata.plans.registry import queries
 from tests.conftest import SF_SMALL
 
 BATCH = sorted(n for n in queries() if not n.startswith("strm"))
