@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing
+from . import line_dedup, mixing, poly_dedup
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digests(documents(spark, sf_dir), min_docs=10, keep_first=False)
+
+
+def op7_poly_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return poly_dedup.exact_groups(documents(spark, sf_dir))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
     mixed = mixing.mix_sources(written(sized, "sizes"))
@@ -17,5 +25,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_line_dedup": op4_line_dedup,
+    "op7_poly_dedup": op7_poly_dedup,
     "op8_mix_sources": op8_mix_sources,
 }

@@ -26,7 +26,33 @@ mixed AS (
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
 """
 
+LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LINES = r"""
+split AS (
+  SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM {docs}),
+lines AS (
+  SELECT row_id, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split),
+keyed AS (
+  SELECT *, """ + LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))") + r""" AS key FROM lines),
+common AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= {min_docs}),
+kept AS (
+  SELECT row_id, keyed.doc_id, count(*)::BIGINT AS n_lines, count(common.key)::BIGINT AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE common.key IS NULL), '') AS text
+  FROM keyed LEFT JOIN common USING (key) GROUP BY ALL)
+"""
+
 SQL = {
+    "op4_line_dedup": "WITH" + LINES.format(docs="documents", min_docs=10) + """
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept
+""",
+    "op7_poly_dedup": f"""
+WITH low AS (SELECT doc_id, {LOWER.format("coalesce(text, '')")} AS low FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(low) AS text_sha256
+FROM low WINDOW same AS (PARTITION BY low)
+""",
     "op8_mix_sources": "WITH" + MIX.format(docs="documents") + """
 SELECT doc_id, size, source_size, target,
        size * (floor(rate)::BIGINT + (draw < rate - floor(rate))::BIGINT) AS taken
