@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, poly_dedup
+from . import decontam, line_dedup, mixing, poly_dedup, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -24,8 +24,18 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.hit_digests(spark, documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.extract(documents(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op7_poly_dedup": op7_poly_dedup,
     "op8_mix_sources": op8_mix_sources,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_site_templates": op10_site_templates,
 }
