@@ -14,6 +14,7 @@ from strata.session import scratch_path
 
 #: Separators of the word definitions: space and U+0009 to U+000D.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
@@ -22,10 +23,17 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
 
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: it cuts the lineage, and a
-    lost executor costs no recomputation of what came before."""
-    path = scratch_path(df.sparkSession, "llm", f"{tag}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lost executor costs no recomputation of what came before.  The shuffle files of the write
+    are of no use after it, so Spark is told to remove them at its end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", f"{tag}-{uuid.uuid4().hex}")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:

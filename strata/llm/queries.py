@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, mixing, poly_dedup, templates
+from . import decontam, line_dedup, mixing, poly_dedup, radix_windows, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -14,6 +14,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(documents(spark, sf_dir), min_docs=10, keep_first=False)
 
 
+def op5_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return radix_windows.window_digests(documents(spark, sf_dir), length=200)
+
+
 def op7_poly_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poly_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op5_radix_windows": op5_radix_windows,
     "op7_poly_dedup": op7_poly_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_decontaminate": op9_decontaminate,
