@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, mixing, poly_dedup, radix_windows, templates
+from . import brown_lm, decontam, line_dedup, mixing, poly_dedup, radix_windows, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -18,6 +18,10 @@ def op5_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_windows.window_digests(documents(spark, sf_dir), length=200)
 
 
+def op6_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.score(documents(spark, sf_dir), folds=10)
+
+
 def op7_poly_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poly_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_radix_windows": op5_radix_windows,
+    "op6_brown_lm": op6_brown_lm,
     "op7_poly_dedup": op7_poly_dedup,
     "op8_mix_sources": op8_mix_sources,
     "op9_decontaminate": op9_decontaminate,
