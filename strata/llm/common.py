@@ -45,6 +45,12 @@ def text_tag() -> "F.Column":
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
+def by_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text with the numbers doc and tag, equal for rows equal in both; a null doc_id
+    takes the least long, so that numpy can hold doc."""
+    return docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), text_tag().alias("tag"), "text")
+
+
 def mapped(df: DataFrame, batch_fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``batch_fn`` over the Arrow batches of ``df``; each call yields any number of batches."""
 

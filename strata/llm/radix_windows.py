@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, mix64, partitions, text_tag, texts, written
+from .common import by_text, mapped, mix64, partitions, texts, written
 
 #: Windows in a part of a block.
 STEP = 8
@@ -276,14 +276,9 @@ def _snippets(length: int):
     return cut
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A null doc_id shares a number with the least long: what is removed depends on the text alone."""
-    return docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), text_tag().alias("tag"), "text")
-
-
 def repeated_windows(docs: DataFrame, length: int = 200) -> DataFrame:
     """(doc, tag, lo, hi): ranges of places where a repeated window starts."""
-    keyed = _keyed(docs).select("doc", "tag", "text")
+    keyed = by_text(docs).select("doc", "tag", "text")
     by_doc = ["doc", "tag"]
     one = radix_pass(mapped(keyed, _first_rows(length), ROW), "blocks")
     on = one.filter(F.col("kind") == ON).groupBy(*by_doc).agg(F.collect_list(F.struct("lo", "shape")).alias("found"))
@@ -346,5 +341,5 @@ def _digests(length: int):
 def window_digests(docs: DataFrame, length: int = 200) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     found = repeated_windows(docs, length).groupBy("doc", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
-    joined = _keyed(docs).join(found, ["doc", "tag"], "left").select("doc_id", "text", "found")
+    joined = by_text(docs).join(found, ["doc", "tag"], "left").select("doc_id", "text", "found")
     return mapped(joined, _digests(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
