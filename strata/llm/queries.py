@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, brown_lm, decontam, line_dedup, mixing, poly_dedup, radix_windows, sentence_spans, templates
+from . import bagminhash, brown_lm, cotrain, decontam, line_dedup, mixing, poly_dedup, radix_windows, sentence_spans, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -18,6 +18,10 @@ def op2_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.class_of_documents(documents(spark, sf_dir), width=5, threshold=0.8)
 
 
+def op3_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(documents(spark, sf_dir), min_docs=10, keep_first=False)
 
@@ -51,6 +55,7 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentence_spans": op1_sentence_spans,
     "op2_bagminhash": op2_bagminhash,
+    "op3_cotraining": op3_cotraining,
     "op4_line_dedup": op4_line_dedup,
     "op5_radix_windows": op5_radix_windows,
     "op6_brown_lm": op6_brown_lm,
