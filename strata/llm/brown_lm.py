@@ -25,7 +25,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -97,7 +96,7 @@ def word_counts(docs: DataFrame, folds: int) -> DataFrame:
 
 
 def unit_neighbours(docs: DataFrame, units, folds: int) -> DataFrame:
-    """(unit, side, others): per unit what stands before (side 0) and after it, with counts."""
+    """(unit, side, others, times): per unit what stands before (side 0) and after it, and how often."""
 
     def pairs(batch):
         found = []
@@ -117,23 +116,24 @@ def unit_neighbours(docs: DataFrame, units, folds: int) -> DataFrame:
         for side, a, b in ((0, second, first), (1, first, second))
     ]
     both = sides[0].unionAll(sides[1]).groupBy("unit", "side")
-    return written(both.agg(F.collect_list("other").alias("others")), "neighbours")
+    lists = both.agg(F.collect_list("other").alias("other"))
+    return written(lists.select("unit", "side", F.col("other.unit").alias("others"), F.col("other.n").alias("times")), "neighbours")
 
 
 def class_neighbours(neighbours: DataFrame, classes: np.ndarray, n_classes: int) -> np.ndarray:
     """By side, unit and class: how often the class stands on that side of the unit."""
     of_unit = neighbours.sparkSession.sparkContext.broadcast(classes)
 
-    def add(batches):
-        for df in batches:
-            sums = [
-                np.bincount(of_unit.value[[o["unit"] for o in others]], [o["n"] for o in others], n_classes)
-                for others in df["others"]
-            ]
-            yield pd.DataFrame({"unit": df["unit"], "side": df["side"], "sums": sums})
+    def add(batch):
+        unit, side, others, times = (batch.column(batch.schema.get_field_index(c)) for c in ("unit", "side", "others", "times"))
+        row = np.repeat(np.arange(batch.num_rows), others.value_lengths().to_numpy())
+        at = row * n_classes + of_unit.value[others.flatten().to_numpy()]
+        sums = np.bincount(at, times.flatten().to_numpy(), batch.num_rows * n_classes)
+        lists = pa.ListArray.from_arrays(np.arange(0, len(sums) + 1, n_classes, dtype=np.int32), sums)
+        yield pa.RecordBatch.from_arrays([unit, side, lists], names=["unit", "side", "sums"])
 
     out = np.zeros((2, len(classes), n_classes))
-    for row in neighbours.mapInPandas(add, "unit int, side int, sums array<double>").collect():  # a row per unit and side
+    for row in mapped(neighbours, add, "unit int, side int, sums array<double>").collect():  # a row per unit and side
         out[row["side"], row["unit"]] = row["sums"]
     return out
 
@@ -229,7 +229,7 @@ class Model:
         return len(words) + 1, len(known) + bool(self.texts), float(base), float(score), others
 
 
-def fit(docs: DataFrame, folds: int = 10, top_words: int = 2000, endings: int = 512, n_classes: int = 32, rounds: int = 8, known_words: int = 200_000):
+def fit(docs: DataFrame, folds: int = 10, top_words: int = 2000, endings: int = 512, n_classes: int = 32, rounds: int = 8, known_words: int = 100_000):
     """The broadcast model and the table of word counts."""
     spark = docs.sparkSession
     counts = word_counts(docs, folds)

@@ -63,13 +63,11 @@ def draw(seed: str, key: Column) -> Column:
 
 
 def mix_sources(
-    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_rate: float = 3.0, seed: str = "mix"
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_rate: float = 3.0, seed: str = "mix", size: Column | None = None
 ) -> DataFrame:
-    """``docs`` with size, source_size, target (of the source), rate and copies, one row per document.
-
-    ``size`` is taken from ``docs`` where it has that column, else counted from text.
-    """
-    sized = docs if "size" in docs.columns else docs.withColumn("size", word_count(F.col("text")))
+    """``docs`` with size (by default the words of text), source_size, target (of the source),
+    rate and copies, one row per document."""
+    sized = docs.withColumn("size", word_count(F.col("text")) if size is None else size)
     targets = source_targets(sized.select("source", "size"), weights, max_rate).select(
         F.col("source").alias("target_source"), "source_size", "target"
     )
