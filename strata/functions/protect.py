@@ -13,26 +13,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Separator between hashed fields (unit separator, chr 31), the
-# marker that stands for NULL inside the hashed text, and the token written for a
+# marker of NULL (a value starts with its length), and the token written for a
 # value that cannot be decrypted ("decryption error").
 HASH_SEPARATOR = "\x1f"
-HASH_NULL = "~N"
+HASH_NULL = "~"
 DECRYPT_ERROR = "ERREUR DE DÉCHIFFREMENT"
 
 
 def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
-    """HSH1: md5 over the listed columns, nulls marked, doubles fixed to 2 decimals.
+    """HSH1: md5 over the listed columns, each as length and exact text, nulls marked.
 
-    A 128-bit hash instead of a 32-bit checksum, and NULL is distinguishable
-    from any value, so (NULL, 'a') and ('a', NULL) hash differently.
+    A 128-bit hash instead of a 32-bit checksum.  A double's text is exact (it
+    reads back as the same double; -0.0 counts as 0.0), and no value's text equals
+    the mark of NULL or runs into the next field.
     """
     types = dict(df.dtypes)
     parts = []
     for c in columns:
         col = F.col(c)
         if types[c] in ("double", "float"):
-            col = col.cast("decimal(38,2)")
-        parts.append(F.coalesce(col.cast("string"), F.lit(HASH_NULL)))
+            col = col + F.lit(0.0)
+        text = col.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit(HASH_NULL)))
     return F.md5(F.concat_ws(HASH_SEPARATOR, *parts))
 
 

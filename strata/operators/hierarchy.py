@@ -2,8 +2,8 @@
 
 Each level is one join of the previous level with the edge table.  Levels
 are checkpointed to the shared checkpoint folder so lineage stays short and a
-lost executor recomputes one level, not the whole recursion.  A depth limit
-stops cycles that the reference's self-loop guard does not catch.
+lost executor recomputes one level, not the whole recursion.  Beyond a depth
+limit the walk raises: a cycle, or a deeper tree, never gives a partial result.
 """
 
 from __future__ import annotations
@@ -18,20 +18,23 @@ from ..session import ensure_checkpoint_dir
 def walk(
     anchor: DataFrame,
     step: Callable[[DataFrame], DataFrame],
-    max_depth: int = 64,
+    max_depth: int = 1000,
 ) -> DataFrame:
     """Union of ``anchor`` and repeated ``step(previous_level)`` until a level is empty.
 
     ``step`` receives the rows of the previous level and returns the next level
-    with the same columns.  The depth guard counts levels, not rows.
+    with the same columns.  More than ``max_depth`` levels below the anchor raise
+    ``RecursionError``.
     """
     ensure_checkpoint_dir(anchor.sparkSession)
     frontier = anchor.checkpoint()
     levels = [frontier]
-    for _ in range(max_depth):
+    while True:
         nxt = step(frontier).checkpoint()
         if nxt.isEmpty():
             break
+        if len(levels) > max_depth:
+            raise RecursionError(f"the hierarchy has more than {max_depth} levels below its anchor, or a cycle")
         levels.append(nxt)
         frontier = nxt
     out = levels[0]

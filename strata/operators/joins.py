@@ -50,16 +50,18 @@ def range_top1(
     """JN8: for each outer row the best inner row with ``inner_value BETWEEN outer_value + low AND outer_value + high``.
 
     1. The inner side is reduced to its best row per distinct value (a top-1
-       window that Spark limits before the shuffle).
+       window that Spark limits before the shuffle), the outer side to its
+       distinct values: a value that many rows share is looked up once.
     2. Band join as an equi-join: values are cut into bands as wide as the
-       range, each outer row is repeated for the (at most two) bands its
+       range, each outer value is repeated for the (at most two) bands its
        range touches, and the exact range test runs after the equi-join.  No
        side has to be broadcast and no cross product is formed, at any size.
-    3. Top-1 per outer row.  Outer rows without a match are dropped (CROSS APPLY).
+    3. Top-1 per outer value, joined back to the outer rows.  Outer rows
+       without a match are dropped (CROSS APPLY).
 
     ``best`` must end with a unique key.
     """
-    width = float(high - low)
+    width = float(high - low) or 1.0
     per_value = Window.partitionBy(inner_value).orderBy(*_order(best))
     reduced = inner.filter(F.col(inner_value).isNotNull()).withColumn("_r", F.row_number().over(per_value)).filter("_r = 1").drop("_r")
     reduced = reduced.withColumnRenamed(inner_value, "_inner_value").withColumn(
@@ -67,12 +69,15 @@ def range_top1(
     )
     lo_band = F.floor((F.col(outer_value) + F.lit(low)) / F.lit(width))
     hi_band = F.floor((F.col(outer_value) + F.lit(high)) / F.lit(width))
-    banded = outer.filter(F.col(outer_value).isNotNull()).withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
+    values = outer.filter(F.col(outer_value).isNotNull()).select(outer_value).distinct()
+    banded = values.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
     joined = banded.join(reduced, "_band").filter(
         (F.col("_inner_value") >= F.col(outer_value) + F.lit(low)) & (F.col("_inner_value") <= F.col(outer_value) + F.lit(high))
     )
+    per_outer_value = Window.partitionBy(outer_value).orderBy(*_order(best))
+    found = joined.withColumn("_r", F.row_number().over(per_outer_value)).filter("_r = 1").drop("_r", "_inner_value", "_band")
     pick = Window.partitionBy(*outer_keys).orderBy(*_order(best))
-    return joined.withColumn("_r", F.row_number().over(pick)).filter("_r = 1").drop("_r", "_inner_value", "_band")
+    return outer.join(found, outer_value).withColumn("_r", F.row_number().over(pick)).filter("_r = 1").drop("_r")
 
 
 def latest_by(df: DataFrame, key: str, value: str, order_col: str, out: str) -> DataFrame:

@@ -58,8 +58,8 @@ def last_max_key(target: DataFrame, key: str) -> DataFrame:
 
 def new_keys_by_max(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """VER2 / SRC2 as the reference does it: source rows above the target's max key."""
-    bound = last_max_key(target, key)
-    return source.crossJoin(F.broadcast(bound)).filter(F.col(key) > F.col("_last_max")).drop("_last_max")
+    # a scalar subquery: its value reaches the source's scan as a filter
+    return source.filter(F.col(key) > last_max_key(target, key).scalar())
 
 
 def new_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -172,10 +172,9 @@ def scd2_since(
     ``watermark`` is a one-row frame with column ``watermark`` (NULL or
     missing = compare everything).  Current rows of other keys pass through.
     """
-    bound = watermark.agg(F.max("watermark").alias("_wm"))
-    recent = source.crossJoin(F.broadcast(bound)).filter(
-        F.col("_wm").isNull() | (F.col(ts_col).cast("timestamp") > F.col("_wm"))
-    ).drop("_wm", ts_col)
+    bound = watermark.agg(F.max("watermark").cast("timestamp_ntz").cast("string")).first()[0]  # one value
+    recent = source if bound is None else source.filter(F.col(ts_col) > F.lit(bound).cast(dict(source.dtypes)[ts_col]))
+    recent = recent.drop(ts_col)
     data_cols = [c for c in recent.columns if c != key]
     return _merge(target, recent, key, as_of, _differs(data_cols, "t", "s"), data_cols, high_date, source_is_delta=True)
 

@@ -4,10 +4,14 @@
 single task.  These helpers give the same numbers with range partitioning:
 
 1. aggregate the ordering values first (a hot value collapses to one row),
-2. range-partition the distinct values, number them inside each partition,
-3. add per-partition offsets computed from a frame with one row per
-   partition (bounded by the partition count, so broadcasting it is safe),
+2. range-partition the distinct values and write them once with their partition
+   number (``sliced``): two branches of a plan that each range-partitioned the
+   frame would sample bounds of their own, and their slices would differ,
+3. number the values inside each slice and add per-slice offsets computed from a
+   frame with one row per slice (bounded by their count, so broadcasting is safe),
 4. join the numbers back on the ordering values.
+
+All numbers are bigint.
 """
 
 from __future__ import annotations
@@ -33,12 +37,29 @@ def _partitions(df: DataFrame, n_parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate frame once to the shared checkpoint folder and read it back.
+
+    For frames that several branches of one plan read: Spark cannot reuse a
+    shuffle when the branches prune different columns, so without this the
+    joins below would run once per branch.  A reliable checkpoint also cuts
+    the lineage, so a lost executor does not recompute the whole chain.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def sliced(df: DataFrame, sort: Sequence[Column], n: int) -> DataFrame:
+    """``df`` cut into ``n`` ordered slices, numbered in ``_pid``, written once: every reader sees the same slices."""
+    return materialize(df.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id()))
+
+
 def _numbering(df: DataFrame, order: Order, kind: str, out: str, n: int) -> DataFrame:
     """Distinct ordering values of ``df`` with their global rank (``_k<i>`` key columns, ``out``)."""
     keys = [c for c, _ in order]
     sort = _sort_exprs(order)
     distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    ranged = distinct.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
+    ranged = sliced(distinct, sort, n)
     w = Window.partitionBy("_pid").orderBy(*sort)
     ranged = ranged.withColumn(
         "_rows_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -50,7 +71,7 @@ def _numbering(df: DataFrame, order: Order, kind: str, out: str, n: int) -> Data
         F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_off"),
         F.coalesce(F.sum("_pd").over(wp), F.lit(0)).alias("_doff"),
     )
-    # one row per range partition: bounded by n, broadcast is safe
+    # one row per slice: bounded by n, broadcast is safe
     numbered = ranged.join(F.broadcast(offsets), "_pid")
     if kind in ("rank", "row_number"):
         value = F.col("_off") + F.col("_rows_before") + 1
@@ -58,19 +79,7 @@ def _numbering(df: DataFrame, order: Order, kind: str, out: str, n: int) -> Data
         value = F.col("_doff") + F.col("_vals_before") + 1
     else:
         raise ValueError(kind)
-    return numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], value.cast("int").alias(out))
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate frame once to the shared checkpoint folder and read it back.
-
-    For frames that several branches of one plan read: Spark cannot reuse a
-    shuffle when the branches prune different columns, so without this the
-    joins below would run once per branch.  A reliable checkpoint also cuts
-    the lineage, so a lost executor does not recompute the whole chain.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], value.cast("long").alias(out))
 
 
 def global_ranks(
@@ -108,27 +117,6 @@ def global_rank(
     return global_ranks(df, [(order, kind, out)], n_parts, materialize_input)
 
 
-_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
-
-
-def _bucketed(df: DataFrame, order: Order, n: int) -> DataFrame:
-    """Rows with a ``_pid`` column whose values follow the ordering, clustered by ``_pid``.
-
-    For one ascending numeric column the n-1 quantile boundaries (a list bounded
-    by n, read on the driver) give a bucket expression; hash-partitioning on it
-    lets the per-bucket window reuse that partitioning (one shuffle).  Other
-    orderings fall back to range partitioning plus the partition id (two).
-    """
-    if len(order) == 1 and order[0][1] and dict(df.dtypes).get(order[0][0]) in _NUMERIC:
-        key = order[0][0]
-        bounds = sorted(set(df.approxQuantile(key, [i / n for i in range(1, n)], 0.001)))
-        bucket = F.lit(0)
-        for b in bounds:
-            bucket = bucket + F.coalesce((F.col(key) > F.lit(b)).cast("int"), F.lit(0))
-        return df.withColumn("_pid", bucket.cast("int")).repartition(n, "_pid")
-    return df.repartitionByRange(n, *_sort_exprs(order)).withColumn("_pid", F.spark_partition_id())
-
-
 def global_lag_lead(
     df: DataFrame,
     order: Order,
@@ -138,13 +126,13 @@ def global_lag_lead(
 ) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` (LAG / LEAD by one row) over a unique ordering.
 
-    Rows are split into ordered buckets (``_bucketed``); inside a bucket the
+    Rows are split into ordered slices (``sliced``); inside a slice the
     ordinary window gives the neighbours, and the first / last row of each
-    bucket takes its neighbour from the adjacent non-empty bucket.
+    slice takes its neighbour from the adjacent non-empty slice.
     """
     sort = _sort_exprs(order)
     n = _partitions(df, n_parts)
-    ranged = _bucketed(df, order, n)
+    ranged = sliced(df, sort, n)
     w = Window.partitionBy("_pid").orderBy(*sort)
     ranged = ranged.withColumn("_rn", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy("_pid")))
     for c in columns:
@@ -167,7 +155,7 @@ def global_lag_lead(
             f"prev_{c}", F.when(F.col("_rn") == 1, F.col(f"_prev_last_{c}")).otherwise(F.col(f"_lag_{c}"))
         ).withColumn(f"next_{c}", F.when(F.col("_rn") == F.col("_cnt"), F.col(f"_next_first_{c}")).otherwise(F.col(f"_lead_{c}")))
     if row_number:
-        out = out.withColumn(row_number, (F.col("_off") + F.col("_rn")).cast("int"))
+        out = out.withColumn(row_number, (F.col("_off") + F.col("_rn")).cast("long"))
     drop = [c for c in out.columns if c.startswith("_")]
     return out.drop(*drop)
 
@@ -200,15 +188,15 @@ def partitioned_numbering(
     ``Window.partitionBy(part)`` runs each group in one task: a low-cardinality
     key (25 departments) uses 25 tasks whatever the cluster size, and a hot
     group lands whole in one of them.  Here rows are range-partitioned on
-    (part, order, tie_key), so a big group spans many partitions; each
-    partition numbers its slice, and per-(partition, group) counts turn into
-    offsets.  Equal (part, order) values share a partition, so ties rank
+    (part, order) and written once (``sliced``), so a big group spans many
+    slices; each slice numbers its rows, and per-(slice, group) counts turn into
+    offsets.  Equal (part, order) values share a slice, so ties rank
     together.  Adds ``_rn`` (row number, ties broken by ``tie_key``), ``_rank``,
     ``_dense`` and ``_gcount`` (rows in the group).
     """
     n = _partitions(df, n_parts)
     sort = [F.col(p).asc_nulls_first() for p in part] + _sort_exprs(order)
-    ranged = df.repartitionByRange(n, *sort).withColumn("_pid", F.spark_partition_id())
+    ranged = sliced(df, sort, n)
     local = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order), F.col(tie_key).asc_nulls_first())
     local_peers = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order))
     ranged = (
@@ -229,9 +217,9 @@ def partitioned_numbering(
     j = ranged.join(offsets, cond).drop(offsets["_pid"])
     return j.select(
         *df.columns,
-        (F.col("_off") + F.col("_lrn")).cast("int").alias("_rn"),
-        (F.col("_off") + F.col("_lrank")).cast("int").alias("_rank"),
-        (F.col("_doff") + F.col("_ldense")).cast("int").alias("_dense"),
+        (F.col("_off") + F.col("_lrn")).cast("long").alias("_rn"),
+        (F.col("_off") + F.col("_lrank")).cast("long").alias("_rank"),
+        (F.col("_doff") + F.col("_ldense")).cast("long").alias("_dense"),
         F.col("_gcount"),
     )
 
@@ -241,4 +229,4 @@ def ntile_from_row_number(rn: Column, count: Column, buckets: int) -> Column:
     q = F.floor(count / buckets)
     r = count - q * buckets
     big = r * (q + 1)
-    return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1).cast("int")
+    return F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(r + F.floor((rn - big - 1) / q) + 1).cast("long")

@@ -337,7 +337,7 @@ def req1_18(spark: SparkSession, d: str) -> DataFrame:
     x = f.select(F.col("EmployeeId").alias("_xid"), F.col("Salary").alias("_xsal"))
     before = (F.col("_xsal") > F.col("p.Salary")) | ((F.col("_xsal") == F.col("p.Salary")) & (F.col("_xid") < F.col("p.EmployeeId")))
     counted = p.join(x, before, "left").groupBy(*[F.col(f"p.{c}").alias(c) for c in cols]).agg(
-        (F.count("_xid") + 1).cast("int").alias("RowNumber")
+        (F.count("_xid") + 1).alias("RowNumber")
     )
     return counted
 

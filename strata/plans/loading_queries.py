@@ -2,8 +2,8 @@
 
 Change set used by the version, upsert and snapshot queries (derived from
 ``customer``; SURVEY 7): the run at T0 loads the table as it is; at T1 the
-source has ``c_acctbal + 1`` for keys % 10 = 0, new keys (key + 1,000,000) for
-keys % 50 = 0, and for snapshots keys % 97 = 0 deleted.
+source has ``c_acctbal + 1`` for keys % 10 = 0, new keys (key + the table's largest
+key + 1) for keys % 50 = 0, and for snapshots old keys % 97 = 0 deleted.
 """
 
 from __future__ import annotations
@@ -37,12 +37,12 @@ def source_v0(spark: SparkSession, d: str) -> DataFrame:
 
 def source_v1(spark: SparkSession, d: str, with_deletes: bool = False) -> DataFrame:
     c = Tables(spark, d).customer
-    k = F.col(KEY)
+    k, last = F.col(KEY), c.agg(F.max(KEY)).scalar()
     changed = c.withColumn("c_acctbal", F.when(k % 10 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
-    added = c.filter(k % 50 == 0).withColumn(KEY, k + 1000000)
+    added = c.filter(k % 50 == 0).withColumn(KEY, k + last + 1)
     out = changed.unionByName(added)
     if with_deletes:
-        out = out.filter(~((k % 97 == 0) & (k < 1000000)))
+        out = out.filter(~((k % 97 == 0) & (k <= last)))
     return out
 
 
@@ -142,7 +142,7 @@ def _product_target(spark: SparkSession, d: str) -> DataFrame:
 def _product_changes(spark: SparkSession, d: str) -> DataFrame:
     p = Model(spark, d).product
     changed = p.filter(F.col("nid") % 4 == 0)
-    added = p.filter(F.col("nid") % 25 == 0).withColumn("nid", F.col("nid") + 1000000)
+    added = p.filter(F.col("nid") % 25 == 0).withColumn("nid", F.col("nid") + p.agg(F.max("nid")).scalar() + 1)
     rows = changed.unionByName(added)
     return rows.select("nid", tx.capitalize("sname").alias("sname"), F.lit(T1).cast("timestamp_ntz").alias("last_modified"))
 

@@ -176,12 +176,13 @@ class Model:
     def simdata(self) -> DataFrame:
         o = self.t.orders
         k = F.col("o_orderkey")
+        plans = self.t.part.agg(F.max("p_partkey") + 1).scalar()  # SIMs reach every plan
         return o.select(
             (F.lit(5550000000) + k).alias("SimNumber"),
             F.when(k % 3 == 0, F.lit("eSIM")).otherwise(F.lit("physical")).alias("SimType"),
             F.col("o_custkey").alias("SimCustomerId"),
             k.alias("SimAccountNumber"),
-            F.when(k % 13 == 0, F.lit(None).cast("bigint")).otherwise(k % 200).alias("SimPlanNumber"),
+            F.when(k % 13 == 0, F.lit(None).cast("bigint")).otherwise(k % plans).alias("SimPlanNumber"),
         )
 
     @property
@@ -307,7 +308,7 @@ ENTITY_SQL: dict[str, str] = {
     ),
     "t_simdata": (
         "SELECT 5550000000 + o_orderkey AS SimNumber, CASE WHEN o_orderkey % 3 = 0 THEN 'eSIM' ELSE 'physical' END AS SimType, "
-        "o_custkey AS SimCustomerId, o_orderkey AS SimAccountNumber, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % 200 END AS SimPlanNumber FROM orders"
+        "o_custkey AS SimCustomerId, o_orderkey AS SimAccountNumber, CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_orderkey % (SELECT max(p_partkey) + 1 FROM part) END AS SimPlanNumber FROM orders"
     ),
     "t_phonenumber": "SELECT o_orderkey AS AccountNumber, 5550000000 + o_orderkey AS PhoneNumber, o_orderkey AS PhoneBillNumber FROM orders",
     "t_callrecords": (

@@ -173,9 +173,9 @@ WHERE Rank <= 5
 
 SQL["req1_16"] = """
 SELECT EmployeeId, Employee_Name, Salary, DepartmentId,
-    CAST(dense_rank() OVER by_pay AS INTEGER) AS SalaryRankInDepartment,
-    CAST(row_number() OVER by_pay_id AS INTEGER) AS SalaryRowInDepartment,
-    CAST(ntile(4) OVER by_pay_id AS INTEGER) AS SalaryQuartileInDepartment,
+    CAST(dense_rank() OVER by_pay AS BIGINT) AS SalaryRankInDepartment,
+    CAST(row_number() OVER by_pay_id AS BIGINT) AS SalaryRowInDepartment,
+    CAST(ntile(4) OVER by_pay_id AS BIGINT) AS SalaryQuartileInDepartment,
     round(Salary - avg(Salary) OVER (PARTITION BY DepartmentId), 4) AS SalaryDifferenceFromAvg,
     first_value(EmployeeId) OVER by_pay_id AS HighestPaidEmployeeIdInDepartment,
     max(EmployeeId) OVER (PARTITION BY DepartmentId, Salary) AS LowestPaidEmployeeIdInDepartment
@@ -193,7 +193,7 @@ WITH cost AS (
     GROUP BY cu.CustomerId, cu.CustomerName
 )
 SELECT CustomerId, CustomerName, TotalOrderCost,
-       CAST(rank() OVER (ORDER BY TotalOrderCost DESC NULLS LAST) AS INTEGER) AS CustomerRank,
+       CAST(rank() OVER (ORDER BY TotalOrderCost DESC NULLS LAST) AS BIGINT) AS CustomerRank,
        round(100.0 * TotalOrderCost / sum(TotalOrderCost) OVER (), 4) AS OrderCostPercentage
 FROM cost
 QUALIFY dense_rank() OVER (PARTITION BY CustomerId ORDER BY TotalOrderCost DESC NULLS LAST) = 1
@@ -202,7 +202,7 @@ QUALIFY dense_rank() OVER (PARTITION BY CustomerId ORDER BY TotalOrderCost DESC
 SQL["req1_18"] = """
 WITH named AS (
     SELECT e.EmployeeId, e.Employee_Name, e.DepartmentId, e.Salary, e.Age, e.SSN,
-           CAST(row_number() OVER (ORDER BY e.Salary DESC, e.EmployeeId) AS INTEGER) AS RowNumber
+           CAST(row_number() OVER (ORDER BY e.Salary DESC, e.EmployeeId) AS BIGINT) AS RowNumber
     FROM t_employee e
     WHERE regexp_matches(e.Employee_Name, '^[A-Ma-m]')
       AND EXISTS (SELECT 1 FROM t_department d WHERE d.DepartmentId = e.DepartmentId)
@@ -360,8 +360,8 @@ SELECT *,
        CASE WHEN 60 * TRY_CAST(split_part(PlanTalktime, ' ', 1) AS BIGINT) < TotalCallDurationSeconds
             THEN '{EXCEEDING}' ELSE '{WITHIN_LIMIT}' END AS TalktimeStatus,
        CASE WHEN DataUsed > IncludedData THEN '{EXCEEDING}' ELSE '{WITHIN_LIMIT}' END AS DataUsageStatus,
-       CAST(dense_rank() OVER (ORDER BY TotalCalls DESC NULLS LAST) AS INTEGER) AS CallFrequencyRank,
-       CAST(dense_rank() OVER (ORDER BY DataUsed DESC NULLS LAST) AS INTEGER) AS DataUsageRank
+       CAST(dense_rank() OVER (ORDER BY TotalCalls DESC NULLS LAST) AS BIGINT) AS CallFrequencyRank,
+       CAST(dense_rank() OVER (ORDER BY DataUsed DESC NULLS LAST) AS BIGINT) AS DataUsageRank
 FROM billed
 """
 

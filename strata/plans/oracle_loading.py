@@ -17,9 +17,9 @@ v1 AS (
     SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal, c_mktsegment
     FROM customer
     UNION ALL
-    SELECT c_custkey + 1000000, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 50 = 0
+    SELECT c_custkey + (SELECT max(c_custkey) + 1 FROM customer), c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 50 = 0
 ),
-v1_del AS (SELECT * FROM v1 WHERE NOT (c_custkey % 97 = 0 AND c_custkey < 1000000)),
+v1_del AS (SELECT * FROM v1 WHERE NOT (c_custkey % 97 = 0 AND c_custkey <= (SELECT max(c_custkey) FROM customer))),
 chg AS (
     SELECT v0.c_custkey FROM v0 JOIN v1 ON v0.c_custkey = v1.c_custkey
     WHERE v0.c_name IS DISTINCT FROM v1.c_name OR v0.c_nationkey IS DISTINCT FROM v1.c_nationkey
@@ -28,12 +28,8 @@ chg AS (
 
 
 def _hash(alias: str) -> str:
-    parts = [
-        f"coalesce(CAST({alias}.c_name AS VARCHAR), '~N')",
-        f"coalesce(CAST({alias}.c_nationkey AS VARCHAR), '~N')",
-        f"coalesce(CAST(CAST({alias}.c_acctbal AS DECIMAL(38,2)) AS VARCHAR), '~N')",
-        f"coalesce(CAST({alias}.c_mktsegment AS VARCHAR), '~N')",
-    ]
+    texts = [f"CAST({alias}.{c} AS VARCHAR)" for c in ("c_name", "c_nationkey", "c_acctbal", "c_mktsegment")]
+    parts = [f"coalesce(length({t}) || ':' || {t}, '~')" for t in texts]
     return f"md5(concat_ws(chr(31), {', '.join(parts)}))"
 
 
@@ -101,7 +97,7 @@ _PRODUCT = f"""
 tgt AS (SELECT nid, sname, TIMESTAMP '{T0}' AS last_modified, TIMESTAMP '{T0}' AS dw_insert_date,
                TIMESTAMP '{T0}' AS dw_update_date FROM t_product WHERE nid % 3 <> 0),
 chg_rows AS (SELECT nid, sname FROM t_product WHERE nid % 4 = 0
-             UNION ALL SELECT nid + 1000000, sname FROM t_product WHERE nid % 25 = 0),
+             UNION ALL SELECT nid + (SELECT max(nid) + 1 FROM t_product), sname FROM t_product WHERE nid % 25 = 0),
 inc AS (SELECT nid, upper(substr(sname, 1, 1)) || lower(substr(sname, 2)) AS sname,
                TIMESTAMP '{T1}' AS last_modified FROM chg_rows)"""
 

@@ -1,9 +1,10 @@
 """Versioned warehouse tables on files (SNK4, LOAD1, WMK1 state, SURVEY 7 hard part a).
 
 Parquet has no in-place UPDATE and a path cannot be overwritten while it is
-read, so every load writes a complete new version ``<base>/data/v=<n>`` and
-then appends one commit row ``(version, committed_at, watermark)`` to
-``<base>/_commits``.  Readers take the highest committed version; a job that
+read, so every load writes a new folder ``<base>/data/v=<n>`` and then appends one
+commit row ``(version, committed_at, watermark, since)`` to ``<base>/_commits``.
+A version job's folder is the complete table; an append job's holds only the
+added rows, and the table is the folders from ``since`` to ``version``.  Readers take the highest committed version; a job that
 dies before its commit row leaves the previous version current, and a rerun
 of the same version overwrites its own folder (idempotent).  The watermark
 advances in the same commit row as the data, so state and data never diverge.
@@ -18,21 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import versioning as vs
+from .paths import read_if_there
 
 COMMIT_SCHEMA = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
         T.StructField("committed_at", T.TimestampNTZType(), False),
         T.StructField("watermark", T.TimestampNTZType(), True),
+        T.StructField("since", T.LongType(), True),
     ]
 )
 
 
 def _commits(spark: SparkSession, base: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{base}/_commits")
-    except Exception:  # no commit yet: the folder does not exist
-        return None
+    return read_if_there(spark, f"{base}/_commits", COMMIT_SCHEMA)
 
 
 def last_commit(spark: SparkSession, base: str) -> tuple[int, str | None] | None:
@@ -46,11 +46,26 @@ def last_commit(spark: SparkSession, base: str) -> tuple[int, str | None] | None
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     last = last_commit(spark, base)
-    return None if last is None else spark.read.parquet(f"{base}/data/v={last[0]}")
+    if last is None:
+        return None
+    since = first_folder(spark, base)
+    if since == last[0]:
+        return spark.read.parquet(f"{base}/data/v={last[0]}")
+    folders = [f"{base}/data/v={v}" for v in range(since, last[0] + 1)]
+    return spark.read.option("basePath", f"{base}/data").parquet(*folders).drop("v")
+
 
+def first_folder(spark: SparkSession, base: str) -> int:
+    """The first of the folders that make up the current table."""
+    row = _commits(spark, base).orderBy(F.col("version").desc()).select(F.coalesce("since", "version")).first()
+    return int(row[0])
 
-def commit(df: DataFrame, base: str, version: int, as_of: str, watermark: str | None = None) -> None:
-    """Write version ``version`` then record it (the commit row makes it visible)."""
+
+def commit(df: DataFrame, base: str, version: int, as_of: str, watermark: str | None = None, since: int | None = None) -> None:
+    """Write the folder of ``version``, then record it (the commit row makes it visible).
+
+    With ``since`` the folder adds to those from there on; without, it is the whole table.
+    """
     spark = df.sparkSession
     writer = df.write.mode("overwrite")
     if "flag" in df.columns:
@@ -58,9 +73,10 @@ def commit(df: DataFrame, base: str, version: int, as_of: str, watermark: str |
         # only flag=1 (partition pruning); history is carried over without a shuffle
         writer = writer.partitionBy("flag")
     writer.parquet(f"{base}/data/v={version}")
-    row = spark.createDataFrame([(version, as_of, watermark)], "version long, committed_at string, watermark string").select(
-        F.col("version"), F.col("committed_at").cast("timestamp_ntz"), F.col("watermark").cast("timestamp_ntz")
-    )
+    row = spark.createDataFrame(
+        [(version, as_of, watermark, version if since is None else since)],
+        "version long, committed_at string, watermark string, since long",
+    ).select("version", F.col("committed_at").cast("timestamp_ntz"), F.col("watermark").cast("timestamp_ntz"), "since")
     row.write.mode("append").parquet(f"{base}/_commits")
 
 
@@ -103,7 +119,7 @@ def run_version_load(
 def run_incremental_append(
     spark: SparkSession, base: str, source: DataFrame, key: str, as_of: str, clean: Callable[[DataFrame], DataFrame] | None = None
 ) -> int:
-    """LOAD1 + LOAD2 as a job: new version = current rows + cleaned rows above the max key."""
+    """LOAD1 + LOAD2 as a job: cleaned rows above the max key are written as a folder of their own."""
     current = read_current(spark, base)
     if current is None:
         rows = clean(source) if clean else source
@@ -111,7 +127,7 @@ def run_incremental_append(
         return 1
     version = last_commit(spark, base)[0]
     added = vs.incremental_append(current, source, key, clean)
-    commit(current.unionByName(added), base, version + 1, as_of)
+    commit(added, base, version + 1, as_of, since=first_folder(spark, base))
     return version + 1
 
 
@@ -121,10 +137,35 @@ def key_bucket(key: str, buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+#: Rows for each bucket of a new table, where its caller names no number of buckets.
+ROWS_PER_BUCKET = 2_000_000
+
+
 def _state_path(path: str) -> str:
     return f"{path.rstrip('/')}_state"
 
 
+def bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets stored with the table, None for a new one."""
+    layout = read_if_there(spark, f"{_state_path(path)}/_layout")
+    return None if layout is None else int(layout.first()["buckets"])
+
+
+def _set_bucket_count(rows: DataFrame, path: str, buckets: int | None) -> int:
+    """Decide on a new table's buckets, from its size unless given, and store the number before the data."""
+    spark = rows.sparkSession
+    buckets = buckets or max(64, -(-rows.count() // ROWS_PER_BUCKET))
+    spark.createDataFrame([(buckets,)], "buckets int").write.mode("overwrite").parquet(f"{_state_path(path)}/_layout")
+    return buckets
+
+
+def _known_bucket_count(spark: SparkSession, path: str, buckets: int | None) -> int:
+    stored = bucket_count(spark, path) or buckets
+    if stored is None:
+        raise ValueError(f"{path} has no stored number of buckets: name it")
+    return stored
+
+
 def run_bucketed_since_load(
     spark: SparkSession,
     path: str,
@@ -132,7 +173,7 @@ def run_bucketed_since_load(
     key: str,
     ts_col: str,
     as_of: str,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> list[int]:
     """VER4 on a table partitioned by key bucket: only buckets with changed keys are rewritten.
 
@@ -150,10 +191,12 @@ def run_bucketed_since_load(
 
     commits = _commits(spark, _state_path(path))
     if commits is None:
+        buckets = _set_bucket_count(source, path, buckets)
         new = vs.initial_load(source.drop(ts_col), as_of).withColumn("bucket", key_bucket(key, buckets))
         new.write.mode("overwrite").partitionBy("bucket").parquet(path)
         commit_state(spark, path, as_of)
         return list(range(buckets))
+    buckets = _known_bucket_count(spark, path, buckets)
     watermark = commits.orderBy(F.col("version").desc()).select(F.col("watermark").cast("string")).first()[0]
     recent = source.filter(F.col(ts_col) > F.lit(watermark).cast("timestamp_ntz"))
     touched = sorted(r[0] for r in recent.select(key_bucket(key, buckets).alias("b")).distinct().collect())
@@ -177,7 +220,7 @@ def commit_state(spark: SparkSession, path: str, as_of: str) -> None:
     commits = _commits(spark, _state_path(path))
     version = 1 if commits is None else int(commits.agg(F.max("version")).first()[0]) + 1
     row = spark.createDataFrame([(version, as_of, as_of)], "version long, committed_at string, watermark string").select(
-        F.col("version"), F.col("committed_at").cast("timestamp_ntz"), F.col("watermark").cast("timestamp_ntz")
+        "version", F.col("committed_at").cast("timestamp_ntz"), F.col("watermark").cast("timestamp_ntz"), F.lit(None).cast("long").alias("since")
     )
     row.write.mode("append").parquet(f"{_state_path(path)}/_commits")
 
@@ -190,7 +233,7 @@ def run_bucketed_upsert(
     update_cols: list[str],
     order_cols: list[str],
     as_of: str,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> list[int]:
     """UPS1 on a table partitioned by key bucket: only buckets holding incoming keys are rewritten.
 
@@ -202,17 +245,16 @@ def run_bucketed_upsert(
     from ..operators.windows import materialize
 
     last = ld.latest_per_key(incoming, key, order_cols).select(key, *update_cols)
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first run: empty target
-        existing = None
+    existing = read_if_there(spark, path)
     if existing is None:
+        buckets = _set_bucket_count(last, path, buckets)
         empty = last.limit(0).withColumn("dw_insert_date", F.lit(None).cast("timestamp_ntz")).withColumn(
             "dw_update_date", F.lit(None).cast("timestamp_ntz")
         )
         new = ld.upsert(empty, last, key, update_cols, as_of).withColumn("bucket", key_bucket(key, buckets))
         new.write.mode("overwrite").partitionBy("bucket").parquet(path)
         return sorted(r[0] for r in new.select("bucket").distinct().collect())
+    buckets = _known_bucket_count(spark, path, buckets)
     touched = sorted(r[0] for r in last.select(key_bucket(key, buckets).alias("b")).distinct().collect())
     if not touched:
         return []
@@ -229,7 +271,7 @@ def run_bucketed_hash_load(
     key: str,
     hash_cols: list[str],
     as_of: str,
-    buckets: int = 64,
+    buckets: int | None = None,
     method: str = "hash",
 ) -> list[int]:
     """VER5 (``method="hash"``) or VER3 (``method="compare"``) on a table partitioned by key bucket.
@@ -245,15 +287,14 @@ def run_bucketed_hash_load(
     from ..operators.windows import materialize
     from .tables import current_hash_scan
 
-    try:
-        existing = spark.read.parquet(path)
-    except Exception:  # first run: empty target
-        existing = None
+    existing = read_if_there(spark, path)
     if existing is None:
+        buckets = _set_bucket_count(source, path, buckets)
         new = vs.initial_load(source, as_of, hash_cols=hash_cols if method == "hash" else None)
         new = new.withColumn("bucket", key_bucket(key, buckets))
         new.write.mode("overwrite").partitionBy("bucket").parquet(path)
         return list(range(buckets))
+    buckets = _known_bucket_count(spark, path, buckets)
     if method == "hash":
         hashed = source.withColumn("_h", row_hash(source, hash_cols))
         stored = current_hash_scan(existing, key).select(key, F.col("row_hash").alias("_old"))

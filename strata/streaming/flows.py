@@ -25,6 +25,7 @@ from ..functions import dates as dt
 from ..functions import protect as pr
 from ..functions import text as tx
 from ..session import scratch_path
+from ..sources.paths import read_if_there
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -111,23 +112,38 @@ def _compacted_path(log_path: str) -> str:
     return f"{log_path.rstrip('/')}_compacted"
 
 
-def _effective_log(spark: SparkSession, log_path: str) -> DataFrame:
-    """The log as readers see it: the last compaction (if any) plus the batches after it.
+def _effective_log(spark: SparkSession, log_path: str, last: int | None = None) -> DataFrame:
+    """The log as readers see it: the last compaction (if any) plus the batches after it, up to ``last``.
 
     Batches already folded into the compaction are skipped by partition pruning,
     so reading cost does not grow with the length of the stream.
     """
     log = spark.read.parquet(log_path)
-    try:
-        compacted = spark.read.parquet(_compacted_path(log_path))
-    except Exception:  # never compacted
-        return log
-    upto = compacted.agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        log = log.filter(F.col("batch_id") <= F.lit(last))
+    done = read_if_there(spark, f"{_compacted_path(log_path)}/done")
+    upto = None if done is None else done.agg(F.max("upto")).first()[0]
     if upto is None:
         return log
+    compacted = spark.read.parquet(f"{_compacted_path(log_path)}/upto_{upto}")
     return compacted.unionByName(log.filter(F.col("batch_id") > F.lit(upto)))
 
 
+def _compact(spark: SparkSession, log_path: str, fold) -> None:
+    """Fold the log up to the last batch there is now.
+
+    The bound is taken first and the fold reads no later batch, so one that lands
+    meanwhile stays in the log.  Each compaction has a folder of its own, which
+    readers use once its row in ``done`` is there.
+    """
+    upto = spark.read.parquet(log_path).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return
+    folded = fold(_effective_log(spark, log_path, upto)).withColumn("batch_id", F.lit(upto).cast("long"))
+    folded.write.mode("overwrite").parquet(f"{_compacted_path(log_path)}/upto_{upto}")
+    spark.createDataFrame([(upto,)], "upto long").write.mode("append").parquet(f"{_compacted_path(log_path)}/done")
+
+
 def _upsert_fold(log: DataFrame, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     order = F.struct(*[F.col(c) for c in order_cols], F.col("batch_id"))
     return log.groupBy(key).agg(
@@ -146,12 +162,8 @@ def read_upserted(spark: SparkSession, log_path: str, key: str, value_cols: Sequ
 
 
 def compact_upsert_log(spark: SparkSession, log_path: str, key: str, value_cols: Sequence[str], order_cols: Sequence[str]) -> None:
-    """Fold the upsert log into one row per key (checkpointed, then written as the new compaction)."""
-    from ..operators.windows import materialize
-
-    folded = materialize(_upsert_fold(_effective_log(spark, log_path), key, value_cols, order_cols))
-    upto = spark.read.parquet(log_path).agg(F.max("batch_id")).first()[0]
-    folded.withColumn("batch_id", F.lit(upto).cast("long")).write.mode("overwrite").parquet(_compacted_path(log_path))
+    """Fold the upsert log into one row per key."""
+    _compact(spark, log_path, lambda log: _upsert_fold(log, key, value_cols, order_cols))
 
 
 def rollup_stream(
@@ -193,16 +205,9 @@ def read_latest_groups(spark: SparkSession, log_path: str, group_cols: Sequence[
 
 
 def compact_group_log(spark: SparkSession, log_path: str, group_cols: Sequence[str], value_cols: Sequence[str]) -> None:
-    """Fold an update-mode log into one row per group (checkpointed, then written as the new compaction)."""
-    from ..operators.windows import materialize
-
-    log = _effective_log(spark, log_path)
-    folded = log.groupBy(*group_cols).agg(
-        *[F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols], F.max("batch_id").alias("batch_id")
-    )
-    folded = materialize(folded)
-    upto = spark.read.parquet(log_path).agg(F.max("batch_id")).first()[0]
-    folded.withColumn("batch_id", F.lit(upto).cast("long")).write.mode("overwrite").parquet(_compacted_path(log_path))
+    """Fold an update-mode log into one row per group."""
+    newest = [F.max_by(F.col(c), F.col("batch_id")).alias(c) for c in value_cols]
+    _compact(spark, log_path, lambda log: log.groupBy(*group_cols).agg(*newest))
 
 
 def first_insert_stream(stream: DataFrame, table_col: str, ts_col: str, log_path: str, checkpoint: str) -> StreamingQuery:

@@ -155,6 +155,24 @@ def test_row_hash_separates_nulls(spark):
     assert hashes[0] != hashes[1]
 
 
+def test_row_hash_is_exact(spark):
+    """Changes below a cent, texts that look like the mark of NULL, and separators within values."""
+    rows = [(1.0, "a"), (1.004, "a"), (None, "~"), (None, "~N"), (None, None), (0.0, "1:a"), (0.0, "a"), (0.1 + 0.2, "b"), (0.3, "b")]
+    df = spark.createDataFrame(rows, "x double, y string")
+    assert df.select(pr.row_hash(df, ["x", "y"]).alias("h")).distinct().count() == len(rows)
+    texts = spark.createDataFrame([("a\x1f1:b", "c"), ("a", "b\x1f1:c")], "x string, y string")
+    assert texts.select(pr.row_hash(texts, ["x", "y"]).alias("h")).distinct().count() == 2
+    zero = spark.createDataFrame([(0.0, "a"), (-0.0, "a")], "x double, y string")
+    assert zero.select(pr.row_hash(zero, ["x", "y"]).alias("h")).distinct().count() == 1
+
+
+def test_differential_finds_small_and_null_like_changes(spark):
+    old = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, None), (3, 3.0, "c")], "k long, x double, y string")
+    new = spark.createDataFrame([(1, 1.004, "a"), (2, 2.0, "~N"), (3, 3.0, "c")], "k long, x double, y string")
+    found = ld.differential(old, new, "k")
+    assert sorted(r["k"] for r in found.collect()) == [1, 2]
+
+
 # ------------------------------------------------------------ joins / windows
 def test_null_aware_not_in(spark):
     left = spark.createDataFrame([(1,), (2,), (None,)], "k long")
@@ -208,8 +226,11 @@ def test_hierarchy_depth_guard_stops_cycles(spark):
     def step(prev):
         return prev.join(edges, prev.node == edges.parent).select(F.col("child").alias("node"), (F.col("Level") + 1).alias("Level"))
 
-    out = walk(anchor, step, max_depth=5)
-    assert out.count() == 6
+    with pytest.raises(RecursionError):
+        walk(anchor, step, max_depth=5)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(1, 6)], "parent long, child long")
+    deep = lambda prev: prev.join(chain, prev.node == chain.parent).select(F.col("child").alias("node"), (F.col("Level") + 1).alias("Level"))
+    assert walk(anchor, deep, max_depth=5).count() == 6
 
 
 # ------------------------------------------------------------ text functions
@@ -336,3 +357,45 @@ def test_seconds_of_day_ignores_session_zone(spark):
         assert got == [3723, 3723, 3723]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize(("parts", "aqe", "reuse"), [(8, "true", "true"), (200, "true", "false"), (8, "false", "false")])
+def test_numberings_of_many_rows(spark, parts, aqe, reuse):
+    """More rows than range partitioning samples: slices must be the same for every branch."""
+    from strata.operators.windows import partitioned_numbering
+
+    before = {k: spark.conf.get(k, d) for k, d in (("spark.sql.adaptive.enabled", "true"), ("spark.sql.exchange.reuse", "true"))}
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        df = spark.range(200_000).select(
+            "id", (F.xxhash64("id") % 5).alias("g"), (F.xxhash64("id", F.lit(1)) % 60_000).alias("v"), F.xxhash64("id", F.lit(2)).alias("u")
+        )
+        got = partitioned_numbering(df, ["g"], [("v", False)], "id", n_parts=parts)
+        w_id, w = Window.partitionBy("g").orderBy(F.desc("v"), "id"), Window.partitionBy("g").orderBy(F.desc("v"))
+        want = df.select("id", F.row_number().over(w_id).alias("a"), F.rank().over(w).alias("b"), F.dense_rank().over(w).alias("c"))
+        wrong = got.join(want, "id").filter("_rn != a OR _rank != b OR _dense != c OR _gcount < a")
+        assert got.count() == 200_000 and wrong.isEmpty()
+        ranked = global_rank(df, [("v", True)], "dense_rank", "r", n_parts=parts)
+        dense = df.select("v").distinct().select("v", F.dense_rank().over(Window.orderBy("v")).alias("w"))
+        assert ranked.count() == 200_000 and ranked.join(dense, "v").filter("w != r").isEmpty()
+        near = global_lag_lead(df, [("u", True)], ["u"], n_parts=parts, row_number="n")
+        over = Window.orderBy("u")
+        plain = df.select("id", F.lag("u").over(over).alias("p"), F.lead("u").over(over).alias("q"), F.row_number().over(over).alias("m"))
+        differing = ~F.col("p").eqNullSafe(F.col("prev_u")) | ~F.col("q").eqNullSafe(F.col("next_u")) | (F.col("n") != F.col("m"))
+        assert near.join(plain, "id").filter(differing).isEmpty()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_change_sets_above_a_million_keys(spark, tmp_dir):
+    """New keys lie above all old ones whatever the table holds, and one row a key stays open."""
+    from strata.plans.loading_queries import source_v0, source_v1, ver3_compare
+
+    base = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
+    base.withColumn("c_custkey", F.col("c_custkey") * 20_000).write.parquet(f"{tmp_dir}/customer.parquet")
+    new = source_v1(spark, tmp_dir)
+    assert source_v0(spark, tmp_dir).agg(F.max("c_custkey")).first()[0] > 1_000_000
+    assert new.count() == new.select("c_custkey").distinct().count()
+    assert ver3_compare(spark, tmp_dir).filter("flag = 1").groupBy("c_custkey").count().filter("count > 1").isEmpty()
