@@ -107,15 +107,29 @@ def load2_incremental(spark: SparkSession, d: str) -> DataFrame:
 
 
 def load4_consolidate(spark: SparkSession, d: str) -> DataFrame:
-    """Six retail tables cleaned into staging; one row per staged table with its row count."""
+    """Six retail tables cleaned into staging: every cleaned row, under columns that all of them share."""
     m = Model(spark, d)
     frames = {"trx": m.trx, "facturation": m.facturation, "shop": m.shop, "city": m.city, "product": m.product, "recharge": m.recharge}
-    staged = for_each_table(
-        frames,
-        lambda name: cl.clean(frames[name], name).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(f"stge_{name}").alias("table_name"), "row_count"
-        ),
-    )
+
+    def stage(name: str) -> DataFrame:
+        cleaned = cl.clean(frames[name], name)
+        held = {c.lower(): c for c in cleaned.columns}
+
+        def shared(out: str, kind: str, *names: str) -> F.Column:
+            found = next((held[n] for n in names if n in held), None)
+            return (F.lit(None) if found is None else F.col(found)).cast(kind).alias(out)
+
+        return cleaned.select(
+            F.lit(f"stge_{name}").alias("table_name"),
+            "nid",
+            shared("sname", "string", "sname"),
+            shared("parent", "bigint", "nshopid", "ncityid"),
+            shared("amount", "double", "namount"),
+            shared("fee", "double", "noperationfee"),
+            shared("day", "date", "dinsertion", "drecharge"),
+        )
+
+    staged = for_each_table(frames, stage)
     parts = list(staged.values())
     out = parts[0]
     for p in parts[1:]:

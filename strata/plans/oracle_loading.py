@@ -85,12 +85,13 @@ SELECT * FROM t_facturation
 WHERE nid > (SELECT coalesce(max(nid), 0) FROM t_facturation WHERE nid <= (SELECT max(nid) // 2 FROM t_facturation))
 """
 SQL["load4_consolidate"] = """
-SELECT 'stge_trx' AS table_name, count(*) AS row_count FROM t_trx
-UNION ALL SELECT 'stge_facturation', count(*) FROM t_facturation
-UNION ALL SELECT 'stge_shop', count(*) FROM t_shop
-UNION ALL SELECT 'stge_city', count(*) FROM t_city
-UNION ALL SELECT 'stge_product', count(*) FROM t_product
-UNION ALL SELECT 'stge_recharge', count(*) FROM t_recharge
+SELECT 'stge_trx' AS table_name, nid, NULL::VARCHAR AS sname, nshopid AS parent, namount::DOUBLE AS amount,
+       coalesce(noperationfee, 0.0)::DOUBLE AS fee, dinsertion::DATE AS day FROM t_trx
+UNION ALL SELECT 'stge_facturation', nid, NULL, nshopid, namount, NULL, dinsertion::DATE FROM t_facturation
+UNION ALL SELECT 'stge_shop', nid, upper(sname), ncityid, NULL, NULL, NULL FROM t_shop
+UNION ALL SELECT 'stge_city', nid, upper(substr(sname, 1, 1)) || lower(substr(sname, 2)), NULL, NULL, NULL, NULL FROM t_city
+UNION ALL SELECT 'stge_product', nid, sname, NULL, NULL, NULL, NULL FROM t_product
+UNION ALL SELECT 'stge_recharge', nid, NULL, nShopId, nAmount, NULL, dRecharge::DATE FROM t_recharge
 """
 
 _PRODUCT = f"""
