@@ -8,7 +8,7 @@ units has a bound that does not depend on the corpus, and every word has a class
 round of the exchange lets Spark add up, per unit, the classes of its neighbours, and then
 moves unit after unit to the class that raises the likelihood of the classes' bigrams most.
 
-Word counts have no bound: the ``known_words`` most frequent are broadcast, and the words
+Word counts have no bound: at most ``known_words`` of the most frequent are broadcast, and the words
 beyond these are counted per document and joined with the counts, which gives the same
 sums.
 
@@ -95,6 +95,22 @@ def word_counts(docs: DataFrame, folds: int) -> DataFrame:
     return written(partial.groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
+def frequent_words(words: DataFrame, most: int) -> DataFrame:
+    """The words above a count that at most ``most`` words reach.
+
+    The count comes from a histogram of a few hundred steps, so no task sends more than its
+    share of these words to the driver, as a sort with a limit would.
+    """
+    step = F.floor(F.log2(F.col("n")) * 8)
+    held, least = 0, None
+    for row in words.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # 8 rows a power of two
+        held += row["count"]
+        if held > most:
+            break
+        least = row["step"]
+    return words.filter(F.lit(False) if least is None else step >= least)
+
+
 def unit_neighbours(docs: DataFrame, units, folds: int) -> DataFrame:
     """(unit, side, others, times): per unit what stands before (side 0) and after it, and how often."""
 
@@ -239,7 +255,7 @@ def fit(docs: DataFrame, folds: int = 10, top_words: int = 2000, endings: int =
         F.sum(F.when(F.col("word").isNotNull(), F.col("n"))).alias("words"),
         F.count("word").alias("kinds"),
     ).first()
-    most = words.orderBy(F.desc("n"), "word").limit(known_words).collect()
+    most = sorted(frequent_words(words, known_words).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     units = Units([bytes(r["word"]) for r in most], [r["n"] for r in most], top_words, endings)
     shared = spark.sparkContext.broadcast(units)
 
@@ -279,10 +295,15 @@ def score(docs: DataFrame, folds: int = 10, **options) -> DataFrame:
         ]
         yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "tag", "held_out", "n_tokens", "n_known", "base", "part", "words", "times"])
 
+    def in_parts(batch):
+        """A few documents at a time: their words and counts are Python objects until they are written."""
+        for start in range(0, batch.num_rows, 500):
+            yield from score_batch(batch.slice(start, 500))
+
     rows = written(
         mapped(
             docs.select("doc_id", text_tag().alias("tag"), "text"),
-            score_batch,
+            in_parts,
             "doc_id long, tag long, held_out boolean, n_tokens long, n_known long, base double, part double, words array<binary>, times array<long>",
         ),
         "scores",
