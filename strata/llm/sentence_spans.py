@@ -1,7 +1,10 @@
 """Removal of sentences that a repeated span of consecutive sentences covers.
 
 A span starts at every sentence and takes ``min_sentences`` sentences and as many more as
-make ``min_words`` words.  All spans' hashes meet in one global sort-merge self-join:
+make ``min_words`` words; another ends at every sentence and takes as many before it.  Every
+sentence of a repeated run lies in a span of the one or the other kind inside the run, so
+that together they cover exactly all repeated runs.  Which kind a span is of depends on its
+sentences alone, so all places of a span are of the same kinds.  All spans' hashes meet in one global sort-merge self-join:
 spans are range-partitioned by hash and place and sorted, so that a stream over each
 partition sees each hash's places in order.  Every place but the first covers its
 sentences, and covered sentences are cut.  A hash's run may cross partitions: the first
@@ -53,16 +56,29 @@ def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
 
 
 def spans(found: list[tuple[int, int, bytes, int]], min_sentences: int, min_words: int) -> Iterator[tuple[bytes, int, int]]:
-    """(hash, first sentence, last sentence) of every span."""
-    last, words = -1, 0
-    for first in range(len(found)):
-        while last + 1 < len(found) and (last - first + 1 < min_sentences or words < min_words):
+    """(hash, first sentence, last sentence) of every span, once."""
+    n, before = len(found), [0]
+    for s in found:
+        before.append(before[-1] + s[3])
+
+    def enough(first: int, last: int) -> bool:
+        return last - first + 1 >= min_sentences and before[last + 1] - before[first] >= min_words
+
+    ranges, last = set(), 0
+    for first in range(n):
+        while last < n and not enough(first, last):
             last += 1
-            words += found[last][3]
-        if last - first + 1 < min_sentences or words < min_words:
-            return
+        if last == n:
+            break
+        ranges.add((first, last))
+    first = 0
+    for last in range(n):
+        if enough(0, last):
+            while enough(first + 1, last):
+                first += 1
+            ranges.add((first, last))
+    for first, last in sorted(ranges):
         yield xxhash.xxh3_128_digest(b"".join(s[2] for s in found[first : last + 1])), first, last
-        words -= found[first][3]
 
 
 def _span_rows(min_sentences: int, min_words: int):
