@@ -11,7 +11,10 @@ sentences, and covered sentences are cut.  A hash's run may cross partitions: th
 row of a partition is then decided by the rows with which other partitions end, one each.
 
 Sentences end at . ! ? before white space, or at a line's end; a sentence of more than
-``LONG`` words is taken by clauses, which end at , ; or : before white space.  Sentences
+``LONG`` words is taken by clauses, which end at , ; or : before white space.  A clause of
+more than ``LONG`` words is taken by parts, which end at words that their own hash chooses,
+one in ``CHOSEN``, or else after ``LONG`` words: a repeated passage has the same parts from
+the first chosen word on, whatever stands before it.  All these count as sentences.  They
 are compared with A-Z lower-cased and white space as one space.  The first place is that
 of the least doc_id, then the earliest sentence.  Defined results: a null or empty text
 has no sentences and stays as it is; rows equal in doc_id and text are one document and
@@ -33,14 +36,30 @@ from pyspark.sql import functions as F
 from .common import by_text, mapped, partitions, texts, written
 
 LONG = 30
+#: One in so many words ends a part of a long clause.
+CHOSEN = 8
 _SENTENCE = re.compile(rb"[^\n]+?(?:[.!?]+(?=\s)|(?=\n)|\Z)\s*")
 _CLAUSE = re.compile(rb".+?(?:[,;:](?=\s)|\Z)\s*", re.S)
+_WORD = re.compile(rb"\s*\S+\s*")
 NAMES = ["h1", "h2", "doc", "tag", "first", "last"]
 ROW = "h1 long, h2 long, doc long, tag long, first long, last long"
 #: A later place of its span; the first row of a partition; the earliest place of a partition's last span.
 LATER, START, END = 0, 1, 2
 
 
+def _parts(text: bytes, start: int, end: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(start, end, words) of the clause, or of its parts if it is long."""
+    words = text[start:end].lower().split()
+    if len(words) <= LONG:
+        yield start, end, words
+        return
+    first = 0
+    for i, (word, m) in enumerate(zip(words, _WORD.finditer(text, start, end), strict=True)):
+        if i + 1 == len(words) or i + 1 - first == LONG or xxhash.xxh3_64_intdigest(word) % CHOSEN == 0:
+            yield start, m.end(), words[first : i + 1]
+            start, first = m.end(), i + 1
+
+
 def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
     """(start, end, digest, words) of the sentences that have words; an end takes the white space after it."""
     out = []
@@ -49,8 +68,7 @@ def sentences(text: bytes) -> list[tuple[int, int, bytes, int]]:
         if len(words) <= LONG:
             parts = [(m.start(), m.end(), words)]
         else:
-            clauses = _CLAUSE.finditer(text, m.start(), m.end())
-            parts = [(c.start(), c.end(), c[0].lower().split()) for c in clauses]
+            parts = [p for c in _CLAUSE.finditer(text, m.start(), m.end()) for p in _parts(text, c.start(), c.end())]
         out += [(s, e, xxhash.xxh3_64_digest(b" ".join(ws)), len(ws)) for s, e, ws in parts if ws]
     return out
 
