@@ -2,8 +2,8 @@
 
 Each view has a logistic regression of its own: one sees which words a text holds and how
 it is written, the other its source, language, length and lines.  In every round both
-score all documents without a label; each view's most confident ones, ``exchange`` per
-class at most, join the other view's training rows with the label that it gave them.  Each view is
+score all documents without a label; each view's most confident texts, ``exchange`` per
+class at most and each once whatever its copies, join the other view's training rows with the label that it gave them.  Each view is
 then calibrated on labelled rows that trained neither, and a regression on the calibrated
 views gives the probability that scores all documents.  Quality and toxicity are two such
 pairs of classifiers.
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, texts, written
+from .common import mapped, text_tag, texts, written
 
 TARGETS = ("quality", "toxic")
 VIEWS = ("content", "metadata")
@@ -190,7 +190,7 @@ def features_of(docs: DataFrame, model) -> list[tuple]:
 
 
 def view_scores(docs: DataFrame, model) -> DataFrame:
-    """doc_id and, for each target, both views' calibrated logits and the combined one."""
+    """doc_id, the text's tag and, for each target, both views' calibrated logits and the combined one."""
 
     def score(batch):
         out: list[list[float]] = []
@@ -200,12 +200,21 @@ def view_scores(docs: DataFrame, model) -> DataFrame:
                 views = model.value.calibrated(target, features)
                 row += [*views, model.value.combined(target, views)]
             out.append(row)
-        columns = list(zip(*out, strict=True)) if out else [()] * (len(names) - 1)
-        arrays = [batch.column(batch.schema.get_field_index("doc_id")), *(pa.array(c, pa.float64()) for c in columns)]
+        columns = list(zip(*out, strict=True)) if out else [()] * (len(names) - 2)
+        keys = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "tag")]
+        arrays = [*keys, *(pa.array(c, pa.float64()) for c in columns)]
         yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    names = ["doc_id", *(f"{t}_{v}" for t in TARGETS for v in (*VIEWS, "both"))]
-    return mapped(docs, score, "doc_id long, " + ", ".join(f"{n} double" for n in names[1:]))
+    names = ["doc_id", "tag", *(f"{t}_{v}" for t in TARGETS for v in (*VIEWS, "both"))]
+    tagged = docs.select(*_COLUMNS, text_tag().alias("tag"))
+    return mapped(tagged, score, "doc_id long, tag long, " + ", ".join(f"{n} double" for n in names[2:]))
+
+
+def surest(scored: DataFrame, by, most: int) -> DataFrame:
+    """doc_id of the ``most`` texts that come first in ``by``; copies of a text take one place together."""
+    rank = F.struct(by.alias("by"), F.xxhash64("doc_id").alias("mixed"), "doc_id").alias("rank")
+    texts_ = scored.select("tag", rank).groupBy("tag").agg(F.min("rank").alias("rank"))
+    return texts_.orderBy("rank").limit(most).select("rank.doc_id")
 
 
 def vocabulary(sample: DataFrame, max_words: int, least: int) -> dict[bytes, int]:
@@ -274,10 +283,9 @@ def co_train(
             for view, other in zip(VIEWS, VIEWS[::-1], strict=True):
                 sure = F.col(f"{target}_{view}")
                 usual = float(np.clip(plane(np.empty((len(held[target]), 0)), np.array([y for _, y in held[target]], dtype=np.float64))[0], -2, 2))
-                for label, by, sure_enough in ((1, sure.desc(), sure > SURE + max(0, usual)), (0, sure.asc(), sure < -SURE + min(0, usual))):
+                for label, by, sure_enough in ((1, -sure, sure > SURE + max(0, usual)), (0, sure, sure < -SURE + min(0, usual))):
                     most = min(exchange, len(held[target]) // 2)
-                    top = free.filter(sure_enough).orderBy(by, F.xxhash64("doc_id"), "doc_id").limit(most)
-                    for row in top.select("doc_id").collect():
+                    for row in surest(free.filter(sure_enough), by, most).collect():
                         given.setdefault(row["doc_id"], []).append((target, other, label))
         if not given:
             break
