@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, brown_lm, cotrain, decontam, line_dedup, merkle, mixing, poly_dedup, radix_windows, sentence_spans, templates
+from . import bagminhash, brown_lm, cotrain, decontam, line_dedup, merkle, mixing, poly_dedup, radix_windows, sentence_spans, spelling, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -52,6 +52,10 @@ def op10_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.extract(documents(spark, sf_dir, "pages"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(documents(spark, sf_dir))
 
@@ -67,5 +71,6 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_decontaminate": op9_decontaminate,
     "op10_site_templates": op10_site_templates,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

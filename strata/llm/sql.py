@@ -103,7 +103,34 @@ SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, fol
 FROM folded, tops WHERE n = 1
 """
 
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[a-z\u00C0-\u00FF]+')) AS low FROM documents),
+distinct_runs AS (SELECT doc_id, low, coalesce(doc_id::VARCHAR, 'null') || ':' || low AS hashed, count(*) AS n FROM runs GROUP BY ALL),
+crc AS (SELECT low, n, {CRC.format("hashed")} AS crc FROM distinct_runs, crc_rule),
+results AS (
+  SELECT CASE WHEN crc % 97 = 0 THEN substr(low, 1, (crc % length(low))::BIGINT) || substr(low, (crc % length(low))::BIGINT + 2) ELSE low END AS word, n FROM crc),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM results WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail FROM words, unnest(range(1, length(word) + 1)) AS p(i)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT DISTINCT cut.word, words.word, words.n FROM cut JOIN words ON words.word = head || tail
+  UNION SELECT DISTINCT words.word, cut.word, cut.n FROM cut JOIN words ON words.word = head || tail),
+best AS (
+  SELECT word, count(*) AS n_near, max(n) AS form_n, arg_min(other, (-n, other)) AS form FROM near GROUP BY word),
+judged AS (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN form_n >= 2 * words.n THEN form END AS form, CASE WHEN form_n >= 2 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS root, 0 AS steps FROM judged
+  UNION ALL SELECT followed.word, judged.form, steps + 1 FROM followed JOIN judged ON followed.root = judged.word WHERE judged.form IS NOT NULL)
+SELECT word, form, arg_max(root, steps) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+FROM followed JOIN judged USING (word) GROUP BY word, form
+"""
+
 SQL = {
+    "op11_spelling_variants": SPELLING,
     "op13_merkle_manifest": MERKLE,
     "op4_line_dedup": "WITH" + LINES.format(docs="documents", min_docs=10) + """
 SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept
