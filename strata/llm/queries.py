@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, brown_lm, cotrain, decontam, line_dedup, merkle, mixing, poly_dedup, radix_windows, sentence_spans, spelling, templates
+from . import bagminhash, brown_lm, cotrain, decontam, line_dedup, merkle, mixing, poly_dedup, radix_windows, secret_scan, sentence_spans, spelling, templates
 from .common import documents, written
 from .sql import SQL  # noqa: F401
 
@@ -56,6 +56,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digests(documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(documents(spark, sf_dir))
 
@@ -72,5 +76,6 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_site_templates": op10_site_templates,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_secret_scan": op12_secret_scan,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -1,5 +1,9 @@
 """DuckDB SQL of the queries that SQL can express over whole tables."""
 
+import math
+
+from . import secret_scan
+
 MIX = r"""
 sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
@@ -129,7 +133,71 @@ SELECT word, form, arg_max(root, steps) AS root, any_value(n) AS n, any_value(n_
 FROM followed JOIN judged USING (word) GROUP BY word, form
 """
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _found(rank: int, name: str, pattern: str, group: int, least: int) -> str:
+    p = _quoted(pattern)
+    return f"""
+  SELECT row_id, {rank} AS rank, {least} AS least, unnest(regexp_extract_all(text, {p})) AS m, unnest(regexp_extract_all(text, {p}, {group})) AS piece,
+         unnest((string_split_regex(text, {p}))[1:len(regexp_extract_all(text, {p}))]) AS gap,
+         generate_subscripts(regexp_extract_all(text, {p}), 1) AS i
+  FROM texts WHERE regexp_matches(text, {p})"""
+
+
+def _secrets() -> str:
+    """Windows are counted one by one here, not step by step."""
+    w, kinds = secret_scan.WINDOW, secret_scan.KINDS
+    found = [_found(r, k, p, g, n) for r, (k, (p, g, n)) in enumerate(secret_scan.BASE.items())]
+    found += [_found(kinds.index(k.name), k.name, k.pattern, 0, 0) for k in secret_scan.ENTROPY]
+    weights = ", ".join(str(round(c * math.log2(c) * secret_scan.UNIT) if c else 0) for c in range(w + 1))
+    above = " OR ".join(
+        f"(rank = {kinds.index(k.name)} AND total <= {k.most} AND digits >= {k.digits} AND upper >= {k.upper} AND lower >= {k.lower}"
+        f" AND upper + lower >= {k.letters})"
+        for k in secret_scan.ENTROPY
+    )
+    names = "[" + ", ".join(f"'{k}'" for k in kinds) + "]"
+    return f"""WITH
+texts AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(found)}),
+ended AS (
+  SELECT *, (sum(length(gap) + length(m)) OVER (PARTITION BY row_id, rank ORDER BY i))::BIGINT AS stop FROM found),
+base AS (SELECT row_id, rank, stop - length(m) AS start, stop FROM ended WHERE rank < 3 AND length(piece) >= least),
+judged AS (
+  SELECT row_id, rank, stop - length(m) AS start, stop, m, regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AS mixed,
+         regexp_matches(m, {_quoted(secret_scan.ALLOWED)}) OR regexp_matches(right(gap, {secret_scan.BEFORE}), {_quoted(secret_scan.ALLOWED_BEFORE)}) AS off
+  FROM ended WHERE rank >= 3),
+candidates AS (
+  SELECT row_id, rank, start, m FROM judged
+  WHERE mixed AND NOT off AND NOT EXISTS (
+    FROM judged AS wide WHERE wide.row_id = judged.row_id AND wide.rank = {kinds.index(secret_scan.WIDEST.name)} AND wide.off
+      AND wide.start <= judged.start AND judged.start < wide.stop)),
+windows AS (
+  SELECT row_id, rank, start, w, substr(m, w + 1, {w}) AS held FROM candidates, unnest(range(length(m) - {w} + 1)) AS p(w)),
+chars AS (
+  SELECT row_id, rank, start, w, c, count(*) AS n FROM windows, unnest(string_split(held, '')) AS u(c) GROUP BY ALL),
+counted AS (
+  SELECT row_id, rank, start, w, sum(([{weights}])[n + 1]) AS total, coalesce(sum(n) FILTER (WHERE c BETWEEN '0' AND '9'), 0) AS digits,
+         coalesce(sum(n) FILTER (WHERE c BETWEEN 'A' AND 'Z'), 0) AS upper, coalesce(sum(n) FILTER (WHERE c BETWEEN 'a' AND 'z'), 0) AS lower
+  FROM chars GROUP BY ALL),
+hot AS (
+  SELECT row_id, rank, start + min(w) AS start, start + max(w) + {w} AS stop FROM counted WHERE {above} GROUP BY row_id, rank, counted.start),
+spans AS (
+  SELECT *, ({names})[rank + 1] || ':' || start || ':' || stop AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM hot)),
+listed AS (
+  SELECT row_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+         count(*) FILTER (WHERE rank = 2) AS n_hex, count(*) FILTER (WHERE rank > 2) AS n_entropy,
+         string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base, string_agg(span, ',' ORDER BY start, rank) AS spans
+  FROM spans GROUP BY row_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       coalesce(n_entropy, 0) AS n_entropy, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (row_id)
+"""
+
+
 SQL = {
+    "op12_secret_scan": _secrets(),
     "op11_spelling_variants": SPELLING,
     "op13_merkle_manifest": MERKLE,
     "op4_line_dedup": "WITH" + LINES.format(docs="documents", min_docs=10) + """
