@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
+import xxhash
 
 from strata.llm import sentence_spans
 from strata.llm.queries import QUERIES
@@ -13,29 +15,67 @@ from tests.conftest import SF_SMALL
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def split(text: str) -> list[tuple[int, int, tuple[str, ...]]]:
+    """(start, end, words) of the sentences, character by character and without the library."""
+
+    def pieces(start: int, end: int, marks: str) -> list[tuple[int, int]]:
+        out, at, i = [], start, start
+        while i < end:
+            i += 1
+            ends = text[i - 1] in marks and (i == end or text[i] in " \t\n\r\f\v" or text[i] in marks and text[i - 1] != "\n")
+            if ends and text[i - 1] != "\n" and i < end and text[i] in marks:
+                continue
+            if ends or text[i - 1] == "\n":
+                while i < end and text[i] in " \t\n\r\f\v":
+                    i += 1
+                out.append((at, i))
+                at = i
+        return out + [(at, end)] * (at < end)
+
+    def words(start: int, end: int) -> tuple[str, ...]:
+        return tuple(re.findall(r"[^ \t\n\r\f\v]+", "".join(c.lower() if c.isascii() else c for c in text[start:end])))
+
+    out = []
+    for start, end in pieces(0, len(text), ".!?"):
+        if len(words(start, end)) <= 30:
+            out.append((start, end, words(start, end)))
+            continue
+        for s, e in pieces(start, end, ",;:"):
+            ws = words(s, e)
+            if len(ws) <= 30:
+                out.append((s, e, ws))
+                continue
+            places = [m.end() for m in re.finditer(r"\s*\S+\s*", text[s:e], re.A)]
+            first, at = 0, s
+            for i, w in enumerate(ws):
+                if i + 1 == len(ws) or i + 1 - first == 30 or xxhash.xxh3_64_intdigest(w.encode()) % 8 == 0:
+                    out.append((at, s + places[i], ws[first : i + 1]))
+                    at, first = s + places[i], i + 1
+    return [p for p in out if p[2]]
+
+
 def brute(rows: list[tuple], min_sentences: int, min_words: int) -> list[tuple]:
+    """Every run of enough sentences and words, of any length: all places but the first are cut."""
     docs = sorted({(i, t) for i, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
     seen, cuts = set(), {}
     for doc_id, text in docs:
-        found = sentence_spans.sentences((text or "").encode())
+        found = split(text or "")
         for first in range(len(found)):
-            last = first
-            while last < len(found) and (last - first + 1 < min_sentences or sum(s[3] for s in found[first : last + 1]) < min_words):
-                last += 1
-            if last < len(found):
-                key = tuple(s[2] for s in found[first : last + 1])
-                if key in seen:
-                    cuts.setdefault((doc_id, text), set()).update(range(first, last + 1))
-                seen.add(key)
+            words, key = 0, ()
+            for last in range(first, len(found)):
+                words, key = words + len(found[last][2]), hash((key, found[last][2]))
+                if last - first + 1 >= min_sentences and words >= min_words:
+                    if key in seen:
+                        cuts.setdefault((doc_id, text), set()).update(range(first, last + 1))
+                    seen.add(key)
     out = []
     for doc_id, text in rows:
-        data = (text or "").encode()
-        found, gone = sentence_spans.sentences(data), cuts.get((doc_id, text), set())
-        kept, at = b"", 0
-        for i, (start, end, *_) in enumerate(found):
+        found, gone = split(text or ""), cuts.get((doc_id, text), set())
+        kept, at = "", 0
+        for i, (start, end, _) in enumerate(found):
             if i in gone:
-                kept, at = kept + data[at:start], end
-        out.append((doc_id, len(found), len(gone), sum(found[i][3] for i in gone), (kept + data[at:]).decode()))
+                kept, at = kept + text[at:start], end
+        out.append((doc_id, len(found), len(gone), sum(len(found[i][2]) for i in gone), kept + (text or "")[at:]))
     return sorted(out, key=str)
 
 
