@@ -1,15 +1,14 @@
-"""Join operators Spark has no single call for (JN7, JN8, JN12, SRT4-SRT6)."""
+"""Join operators Spark has no single call for (JN5, JN7, JN8, JN12, SRT4-SRT6)."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _order(best: Sequence[tuple[str, bool]]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() if asc else F.col(c).desc_nulls_last() for c, asc in best]
+from .staging import staged
+from .windows import running_best
 
 
 def null_aware_anti(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
@@ -37,47 +36,132 @@ def lookup_route(records: DataFrame, target: DataFrame, key: str) -> tuple[DataF
     return records.join(keys, key, "left_semi"), records.join(keys, key, "left_anti")
 
 
+def fan_out_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    left_spread: Column,
+    right_spread: Column,
+    cell: int = 4096,
+    left_keys: DataFrame | None = None,
+) -> DataFrame:
+    """JN5: ``left LEFT JOIN right ON left_key = right_key`` where a key may hold many rows of both sides.
+
+    Rows are counted per key first.  A key with more than ``cell`` rows on a side is cut
+    into a grid: its left rows into ``ceil(left / cell)`` parts, its right rows into
+    ``ceil(right / cell)``, by hashes of ``left_spread`` / ``right_spread``.  Each left row
+    goes to all right parts and the other way round, so every pair meets in one grid cell,
+    no cell holds much more than ``cell`` rows of a side, and rows are repeated only in
+    heavy keys, once per ``cell`` rows of the other side.  Other keys are joined as they
+    are.  A left row without a match stays once; rows with a NULL key are spread, as they
+    match nothing.
+
+    ``left_keys`` may name a cheaper frame with the left keys to count (at least as many
+    rows per key).  Key names must differ; columns that begin with ``_fan_`` are taken.
+    """
+    counted = (left if left_keys is None else left_keys).filter(F.col(left_key).isNotNull())
+    n_left = counted.groupBy(F.col(left_key).alias("_fan_key")).agg(F.count(F.lit(1)).alias("_fan_nl"))
+    n_right = right.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias("_fan_key")).agg(F.count(F.lit(1)).alias("_fan_nr"))
+    parts = n_left.join(n_right, "_fan_key").select(
+        "_fan_key", F.ceil(F.col("_fan_nl") / cell).alias("_fan_l"), F.ceil(F.col("_fan_nr") / cell).alias("_fan_r")
+    )
+    heavy = staged(parts.filter("_fan_l > 1 OR _fan_r > 1"), "heavy-keys")
+    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def sized(df: DataFrame, key: str) -> DataFrame:
+        return df.join(heavy, df[key] == heavy["_fan_key"], "left")
+
+    def dealt(df: DataFrame, spread: Column, own: str, other: str, own_cell: str, other_cell: str) -> DataFrame:
+        own_cell_of = F.pmod(spread, F.coalesce(own, one))
+        every = F.explode(F.sequence(zero, F.coalesce(F.col(other), one) - 1))
+        return df.withColumn(own_cell, own_cell_of).withColumn(other_cell, every)
+
+    lefts = dealt(sized(left, left_key), left_spread, "_fan_l", "_fan_r", "_fan_i", "_fan_j").withColumn(
+        "_fan_i", F.when(F.col(left_key).isNull(), F.pmod(left_spread, F.lit(1 << 20))).otherwise(F.col("_fan_i"))
+    ).withColumn("_fan_heavy", F.col("_fan_key").isNotNull()).drop("_fan_key", "_fan_l", "_fan_r")
+    rights = dealt(sized(right, right_key), right_spread, "_fan_r", "_fan_l", "_fan_rj", "_fan_ri").withColumn("_fan_hit", F.lit(True))
+    rights = rights.filter(F.col(right_key).isNotNull()).drop("_fan_key", "_fan_l", "_fan_r")
+    joined = lefts.join(
+        rights, (F.col(left_key) == F.col(right_key)) & (F.col("_fan_i") == F.col("_fan_ri")) & (F.col("_fan_j") == F.col("_fan_rj")), "left"
+    )
+    # a heavy key has matches, but a part of its right rows may be empty
+    kept = joined.filter(F.col("_fan_hit") | ~F.col("_fan_heavy"))
+    return kept.drop("_fan_i", "_fan_j", "_fan_ri", "_fan_rj", "_fan_heavy", "_fan_hit")
+
+
+def _rank_fields(df: DataFrame, best: Sequence[tuple[str, bool]]) -> list[Column] | None:
+    """Fields whose struct orders rows best first, or None where a column can't be negated."""
+    fields, types = [], dict(df.dtypes)
+    for i, (name, asc) in enumerate(best):
+        if not asc and not types[name].startswith(("int", "bigint", "double", "float", "decimal", "smallint", "tinyint")):
+            return None
+        value = F.col(name) if asc else -F.col(name)
+        fields += [F.col(name).isNull().alias(f"n{i}"), value.alias(f"v{i}")]
+    return fields
+
+
 def range_top1(
     outer: DataFrame,
-    outer_keys: Sequence[str],
     outer_value: str,
     inner: DataFrame,
     inner_value: str,
     low: float,
     high: float,
     best: Sequence[tuple[str, bool]],
+    n_parts: int | None = None,
 ) -> DataFrame:
     """JN8: for each outer row the best inner row with ``inner_value BETWEEN outer_value + low AND outer_value + high``.
 
-    1. The inner side is reduced to its best row per distinct value (a top-1
-       window that Spark limits before the shuffle), the outer side to its
-       distinct values: a value that many rows share is looked up once.
-    2. Band join as an equi-join: values are cut into bands as wide as the
-       range, each outer value is repeated for the (at most two) bands its
-       range touches, and the exact range test runs after the equi-join.  No
-       side has to be broadcast and no cross product is formed, at any size.
-    3. Top-1 per outer value, joined back to the outer rows.  Outer rows
-       without a match are dropped (CROSS APPLY).
-
-    ``best`` must end with a unique key.
+    No pair is formed.  The inner side is reduced to its best row per distinct value, the
+    outer side to its distinct values.  Values are cut into bands half as wide as the
+    range, so a range begins in one band, ends in a later one and holds the bands between,
+    two at the most.  Its best row is the best of what follows its low end in the first
+    band (a running best from the right), of what precedes its high end in the last (a
+    running best from the left), and of the whole bands between.  Both running bests come
+    from one sorted sequence of inner values and range ends (``windows.running_best``):
+    rows are inner values + 2 x outer values, and a band with most of the values is spread
+    over the slices of the sort.
+
+    Outer rows without a match are dropped (CROSS APPLY).  ``best`` must end with a unique
+    key; a descending column must be a number.  Values are compared as doubles.
     """
-    width = float(high - low) or 1.0
-    per_value = Window.partitionBy(inner_value).orderBy(*_order(best))
-    reduced = inner.filter(F.col(inner_value).isNotNull()).withColumn("_r", F.row_number().over(per_value)).filter("_r = 1").drop("_r")
-    reduced = reduced.withColumnRenamed(inner_value, "_inner_value").withColumn(
-        "_band", F.floor(F.col("_inner_value") / F.lit(width))
+    payload = [c for c in inner.columns if c != inner_value]
+    order = _rank_fields(inner, best)
+    if order is None:
+        raise TypeError("a descending column must be a number")
+    row = F.struct(*order, F.struct(*payload).alias("row")).alias("_best")
+    values = (
+        inner.filter(F.col(inner_value).isNotNull())
+        .select((F.col(inner_value).cast("double") + F.lit(0.0)).alias("_at"), row)
+        .groupBy("_at").agg(F.min("_best").alias("_best"))
     )
-    lo_band = F.floor((F.col(outer_value) + F.lit(low)) / F.lit(width))
-    hi_band = F.floor((F.col(outer_value) + F.lit(high)) / F.lit(width))
-    values = outer.filter(F.col(outer_value).isNotNull()).select(outer_value).distinct()
-    banded = values.withColumn("_band", F.explode(F.sequence(lo_band, hi_band)))
-    joined = banded.join(reduced, "_band").filter(
-        (F.col("_inner_value") >= F.col(outer_value) + F.lit(low)) & (F.col("_inner_value") <= F.col(outer_value) + F.lit(high))
+    probes = outer.filter(F.col(outer_value).isNotNull()).select(F.col(outer_value).alias("_probe")).distinct().select(
+        "_probe", (F.col("_probe") + F.lit(float(low))).alias("_low"), (F.col("_probe") + F.lit(float(high))).alias("_high")
     )
-    per_outer_value = Window.partitionBy(outer_value).orderBy(*_order(best))
-    found = joined.withColumn("_r", F.row_number().over(per_outer_value)).filter("_r = 1").drop("_r", "_inner_value", "_band")
-    pick = Window.partitionBy(*outer_keys).orderBy(*_order(best))
-    return outer.join(found, outer_value).withColumn("_r", F.row_number().over(pick)).filter("_r = 1").drop("_r")
+    if float(high) == float(low):
+        found = probes.join(values, F.col("_low") == F.col("_at")).select("_probe", "_best")
+    else:
+        found = _banded_best(values, probes, (float(high) - float(low)) / 2, n_parts)
+    won = found.select("_probe", *[F.col(f"_best.row.{c}").alias(c) for c in payload])
+    return outer.join(won, outer[outer_value] == won["_probe"]).drop("_probe")
+
+
+def _banded_best(values: DataFrame, probes: DataFrame, width: float, n_parts: int | None) -> DataFrame:
+    """(_probe, _best): the least ``_best`` of the values from ``_low`` to ``_high``."""
+    band = lambda c: F.floor(F.col(c) / F.lit(width))
+    none, type_ = F.lit(None), dict(values.dtypes)["_best"]
+    # a low end comes before equal values, a high end after them
+    low_ends = probes.select(band("_low").alias("_band"), F.col("_low").alias("_at"), F.lit(-1).alias("_kind"), "_probe", none.cast(type_).alias("_best"))
+    held = values.select(band("_at").alias("_band"), "_at", F.lit(0).alias("_kind"), none.cast("double").alias("_probe"), "_best")
+    high_ends = probes.select(band("_high").alias("_band"), F.col("_high").alias("_at"), F.lit(1).alias("_kind"), "_probe", none.cast(type_).alias("_best"))
+    sequence = low_ends.unionByName(held).unionByName(high_ends)
+    run = running_best(sequence, ["_band"], [("_at", True), ("_kind", True)], "_best", n_parts)
+    ends = run.filter("_kind != 0").select("_probe", F.when(F.col("_kind") < 0, F.col("_from_right")).otherwise(F.col("_from_left")).alias("_best"))
+    per_band = held.groupBy("_band").agg(F.min("_best").alias("_best"))
+    between = probes.select("_probe", (band("_low") + 1).alias("_first"), (band("_high") - 1).alias("_last")).filter("_first <= _last")
+    whole = between.select("_probe", F.explode(F.sequence("_first", "_last")).alias("_band")).join(per_band, "_band").select("_probe", "_best")
+    return ends.unionByName(whole).groupBy("_probe").agg(F.min("_best").alias("_best")).filter(F.col("_best").isNotNull())
 
 
 def latest_by(df: DataFrame, key: str, value: str, order_col: str, out: str) -> DataFrame:

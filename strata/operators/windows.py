@@ -224,6 +224,33 @@ def partitioned_numbering(
     )
 
 
+def running_best(df: DataFrame, part: Sequence[str], order: Order, value: str, n_parts: int | None = None) -> DataFrame:
+    """Running minima of ``value`` per group: ``_from_left`` up to each row, ``_from_right`` from it on.
+
+    A window over ``part`` alone would run a big group in one task.  Rows are
+    range-partitioned on (part, order) and written once (``sliced``); each slice runs on
+    its own, and takes over the least value of its group in the slices before / after,
+    from one row per (slice, group).
+    """
+    n = _partitions(df, n_parts)
+    sort = [F.col(p).asc_nulls_first() for p in part] + _sort_exprs(order)
+    ranged = sliced(df, sort, n)
+    local = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order))
+    left, right = local.rowsBetween(Window.unboundedPreceding, 0), local.rowsBetween(0, Window.unboundedFollowing)
+    run = ranged.withColumn("_l", F.min(value).over(left)).withColumn("_r", F.min(value).over(right))
+    per = ranged.groupBy("_pid", *part).agg(F.min(value).alias("_least"))
+    whole = Window.partitionBy(*part).orderBy("_pid")
+    carried = per.select(
+        F.col("_pid").alias("_of"), *[F.col(p).alias(f"_p_{p}") for p in part],
+        F.min("_least").over(whole.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.min("_least").over(whole.rowsBetween(1, Window.unboundedFollowing)).alias("_after"),
+    )
+    cond = [ranged["_pid"] == carried["_of"]] + [ranged[p].eqNullSafe(carried[f"_p_{p}"]) for p in part]
+    joined = run.join(carried, cond)
+    # least() skips nulls
+    return joined.select(*df.columns, F.least("_l", "_before").alias("_from_left"), F.least("_r", "_after").alias("_from_right"))
+
+
 def ntile_from_row_number(rn: Column, count: Column, buckets: int) -> Column:
     """NTILE(buckets) from a row number and the group size (the first count % buckets tiles get one extra row)."""
     q = F.floor(count / buckets)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators.hierarchy import walk
+from ..operators.hierarchy import resolve
 from ..operators.joins import any_one, latest_by, null_aware_anti, range_top1, top_keys_by_count
 from ..operators.windows import (
     global_lag_lead, global_rank, global_ranks, materialize, ntile_from_row_number, partitioned_numbering, share_of_total,
@@ -399,8 +399,7 @@ def req1_20(spark: SparkSession, d: str) -> DataFrame:
     ot = _order_trends(m)
     spp = _salesperson_performance(m).withColumnRenamed("AvgCustomerAge", "SpAvgCustomerAge")
     matched = range_top1(
-        ot, ["BirthYear", "Sex", "OrderType", "OrderStatus"], "AvgCustomerAge",
-        spp, "SpAvgCustomerAge", -5.0, 5.0, [("TotalOrders", False), ("SalesPersonId", True)],
+        ot, "AvgCustomerAge", spp, "SpAvgCustomerAge", -5.0, 5.0, [("TotalOrders", False), ("SalesPersonId", True)],
     )
     rate = F.try_divide(F.col("ShippedOrders").cast("double"), F.nullif(F.col("TotalOrders"), F.lit(0)))
     matched = matched.withColumn("ShippedOrderRate", rate)
@@ -575,26 +574,16 @@ def req2_04(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def req2_05(spark: SparkSession, d: str, max_depth: int = 64) -> DataFrame:
-    """Hierarchy path and level (recursive walk with a depth guard) with managed customers."""
+def req2_05(spark: SparkSession, d: str) -> DataFrame:
+    """Hierarchy path and level (recursion by pointer doubling) with managed customers."""
     m = Model(spark, d)
     e, dpt, sp = m.employee, m.department, m.salesperson
     ed = e.join(dpt, "DepartmentId").select("EmployeeId", "Employee_Name", "DepartmentId", "DepartmentName", "Salary")
-    anchor = null_aware_anti(ed, "EmployeeId", sp, "IdEmployeeSalesPerson").select(
-        *ed.columns, F.left(F.col("Employee_Name"), F.lit(255)).alias("HierarchyPath"), F.lit(0).alias("Level")
-    )
-    edges = ed.join(sp, ed.EmployeeId == sp.IdEmployeeSalesPerson).select(*[F.col(c) for c in ed.columns], "SalesPersonId")
-
-    def step(prev: DataFrame) -> DataFrame:
-        p = prev.select(F.col("EmployeeId").alias("_pid"), F.col("HierarchyPath").alias("_ppath"), F.col("Level").alias("_plevel"))
-        nxt = edges.join(p, edges.SalesPersonId == p._pid).filter(F.col("EmployeeId") != F.col("_pid"))
-        return nxt.select(
-            *ed.columns,
-            F.left(F.concat(F.col("_ppath"), F.lit(" > "), F.col("Employee_Name")), F.lit(255)).alias("HierarchyPath"),
-            (F.col("_plevel") + 1).alias("Level"),
-        )
-
-    eh = walk(anchor, step, max_depth=max_depth)
+    labelled = ed.select(F.col("EmployeeId").alias("node"), F.col("Employee_Name").alias("label"))
+    anchors = null_aware_anti(labelled, "node", sp, "IdEmployeeSalesPerson")
+    edges = labelled.join(sp, labelled.node == sp.IdEmployeeSalesPerson).select("node", "label", F.col("SalesPersonId").alias("parent"))
+    found = resolve(anchors, edges).select("node", F.col("path").alias("HierarchyPath"), F.col("level").alias("Level"))
+    eh = ed.join(found, ed.EmployeeId == found.node).drop("node")
     ew, w, c = m.employeeworklocation, m.worklocation, m.customer
     sp2 = sp.select(F.col("SalesPersonId").alias("_spid"), F.col("IdEmployeeSalesPerson").alias("_spemp"))
     j = (

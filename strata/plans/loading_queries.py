@@ -8,6 +8,8 @@ key + 1) for keys % 50 = 0, and for snapshots old keys % 97 = 0 deleted.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +17,11 @@ from ..functions import dates as dt
 from ..functions import protect as pr
 from ..functions import text as tx
 from ..operators import clean as cl
+from ..operators import lake
 from ..operators import loading as ld
 from ..operators import versioning as vs
 from ..operators.joins import null_aware_anti, top_keys_by_count
-from ..session import AS_OF
+from ..session import AS_OF, scratch_path
 from ..sources.tables import Tables, for_each_table
 from .model import Model
 
@@ -278,26 +281,10 @@ def agg16_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lak1_lake_report(spark: SparkSession, d: str) -> DataFrame:
-    """Transaction report over the lake: every column text, as the CSV tables hold it."""
-    m = Model(spark, d)
-
-    def as_text(df: DataFrame) -> DataFrame:
-        return df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-
-    t, p, s, c, f = (as_text(x).alias(a) for x, a in ((m.trx, "t"), (m.product, "p"), (m.shop, "s"), (m.city, "c"), (m.facturation, "f")))
-    j = (
-        t.join(p, F.col("t.nproductid") == F.col("p.nid"), "left")
-        .join(s, F.col("t.nshopid") == F.col("s.nid"), "left")
-        .join(c, F.col("s.ncityid") == F.col("c.nid"), "left")
-        .join(f, F.col("f.nshopid") == F.col("t.nshopid"), "left")
-        .filter(F.col("t.namount").isNotNull() & F.col("s.sname").isNotNull())
-    )
-    return j.select(
-        F.col("t.nid").alias("transaction_id"), F.col("t.dinsertion").alias("transaction_date"),
-        F.col("t.namount").alias("transaction_amount"), F.col("t.noperationfee").alias("operation_fee"),
-        F.col("p.sname").alias("product_name"), F.col("s.sname").alias("shop_name"), F.col("c.sname").alias("city_name"),
-        F.col("f.namount").alias("facturation_amount"), F.col("f.dinsertion").alias("facturation_date"),
-    )
+    """Transaction report over the lake: its tables are written as CSV and read back as text."""
+    m, base = Model(spark, d), scratch_path(spark, "lake", uuid.uuid4().hex)
+    lake.store_tables({name: getattr(m, name) for name in lake.COLUMNS}, base)
+    return lake.transaction_report(lake.open_tables(spark, base))
 
 
 def jn7_not_in(spark: SparkSession, d: str) -> DataFrame:

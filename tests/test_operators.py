@@ -210,7 +210,7 @@ def test_range_top1_equals_brute_force(spark):
     outer = spark.createDataFrame([(i, float(rnd.randint(20, 60))) for i in range(30)], "oid long, age double")
     inner_rows = [(j, float(rnd.randint(15, 70)) + rnd.choice([0, 0.5]), rnd.randint(0, 9)) for j in range(200)]
     inner = spark.createDataFrame(inner_rows, "sid long, sage double, total long")
-    got = range_top1(outer, ["oid"], "age", inner, "sage", -5.0, 5.0, [("total", False), ("sid", True)])
+    got = range_top1(outer, "age", inner, "sage", -5.0, 5.0, [("total", False), ("sid", True)])
     brute = {}
     for oid, age in [(r["oid"], r["age"]) for r in outer.collect()]:
         cands = [x for x in inner_rows if age - 5 <= x[1] <= age + 5]
