@@ -1,7 +1,7 @@
 """Structured Streaming record flows (STRM1-STRM7).
 
 Sources are file streams (new files in a landing folder are the new or
-changed rows).  Sinks are checkpointed, so a restarted query resumes where it
+changed rows) or a growing table read by its largest value (``max_value``).  Sinks are checkpointed, so a restarted query resumes where it
 stopped, and every sink is idempotent under replay of a micro-batch:
 
 * the Parquet file sink is exactly-once by itself (STRM1, STRM2, STRM4, STRM5);
@@ -45,7 +45,7 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, glob: str | None = None, max_files: int | None = None) -> DataFrame:
-    """STRM1: new files in ``path`` are the new / changed rows (the file source tracks what it read)."""
+    """New files in ``path`` are the new / changed rows (the file source tracks what it read)."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -166,36 +166,80 @@ def compact_upsert_log(spark: SparkSession, log_path: str, key: str, value_cols:
     _compact(spark, log_path, lambda log: _upsert_fold(log, key, value_cols, order_cols))
 
 
+def _mark_before(spark: SparkSession, marks_path: str, batch_id: int):
+    """The latest event time of the batches before this one, or None."""
+    marks = read_if_there(spark, marks_path)
+    return None if marks is None else marks.filter(F.col("batch_id") < F.lit(batch_id)).agg(F.max("seen")).first()[0]
+
+
+def windowed_stream(
+    stream: DataFrame, ts_col: str, dims: Sequence[str], aggs: dict[str, F.Column], log_path: str, checkpoint: str, delay: str = "1 hour",
+) -> StreamingQuery:
+    """Event-time groups per day and ``dims``, late rows kept apart.
+
+    The watermark of a batch is the latest event time of the batches before it less
+    ``delay``.  A row whose day had ended by then is late: it goes to ``<log>_late`` as it
+    is, and is in no group.  Of the others each batch logs its own partial aggregates
+    (``aggs``: sums, counts, minima, maxima), which the reader folds.  So there is no
+    operator state to expire: what is kept is a row per batch and group, which
+    ``compact_partials`` folds, and a row per batch for the watermark.  A replayed batch
+    sees the same earlier marks and replaces its own partitions.
+    """
+    marks_path, late_path = f"{log_path}_marks", f"{log_path}_late"
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _mark_before(spark, marks_path, batch_id)
+        day = F.to_date(F.col(ts_col))
+        ended = F.lit(False)
+        if before is not None:
+            watermark = F.lit(before).cast("timestamp_ntz") - F.expr(f"INTERVAL {delay}")
+            ended = F.coalesce((day + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz") <= watermark, F.lit(False))
+        batch.persist()
+        try:
+            groups = batch.filter(~ended).groupBy(day.alias("day"), *dims).agg(*[a.alias(n) for n, a in aggs.items()])
+            _write_batch_partition(groups, log_path, batch_id)
+            if before is not None:
+                _write_batch_partition(batch.filter(ended), late_path, batch_id)
+            _write_batch_partition(batch.agg(F.max(ts_col).alias("seen")), marks_path, batch_id)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_partials(spark: SparkSession, log_path: str, group_cols: Sequence[str], folds: dict[str, str]) -> DataFrame:
+    """Fold a log of partial aggregates; ``folds`` names sum, min or max per column."""
+    return _fold_partials(_effective_log(spark, log_path), group_cols, folds)
+
+
+def _fold_partials(log: DataFrame, group_cols: Sequence[str], folds: dict[str, str]) -> DataFrame:
+    return log.groupBy(*group_cols).agg(*[getattr(F, how)(c).cast(log.schema[c].dataType).alias(c) for c, how in folds.items()])
+
+
+def compact_partials(spark: SparkSession, log_path: str, group_cols: Sequence[str], folds: dict[str, str]) -> None:
+    """Fold a log of partial aggregates into one row per group."""
+    _compact(spark, log_path, lambda log: _fold_partials(log, group_cols, folds))
+
+
+def read_late(spark: SparkSession, log_path: str, schema: T.StructType) -> DataFrame:
+    """The late rows of a log, none if there were none (its batches then left an empty folder, or none)."""
+    late = read_if_there(spark, f"{log_path}_late", schema)
+    return spark.createDataFrame([], schema) if late is None else late
+
+
 def rollup_stream(
-    stream: DataFrame, ts_col: str, dims: Sequence[str], metric: str, log_path: str, checkpoint: str,
-    window: str = "1 day", delay: str = "1 hour",
+    stream: DataFrame, ts_col: str, dims: Sequence[str], metric: str, log_path: str, checkpoint: str, delay: str = "1 hour",
 ) -> StreamingQuery:
-    """STRM6: metric summed per time window and dimensions, event-time watermark for late rows.
+    """STRM6: metric summed per day and dimensions; late rows go to the side output (``read_late``)."""
+    aggs = {metric: F.sum(F.col(metric).cast("decimal(18,2)")).cast("decimal(28,2)"), "rows": F.count(F.lit(1))}
+    return windowed_stream(stream, ts_col, dims, aggs, log_path, checkpoint, delay)
 
-    Update mode sends the groups changed by each batch; they are logged per
-    batch and the reader keeps the newest value per group.  Windows older
-    than the watermark are dropped from state.
-    """
-    # Watermarks need TIMESTAMP; the wall-clock TIMESTAMP_NTZ is taken as a UTC instant
-    # (and the window start mapped back) so day windows do not move with the session zone.
-    tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
-    t = stream.withColumn("_et", F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), tz))
-    agg = (
-        t.withWatermark("_et", delay)
-        .groupBy(F.window("_et", window).alias("w"), *dims)
-        .agg(F.sum(F.col(metric).cast("decimal(18,2)")).alias(metric), F.count(F.lit(1)).alias("rows"))
-        .select(
-            F.to_date(F.to_utc_timestamp(F.col("w.start"), tz)).alias("day"),
-            *dims, F.col(metric).cast("double").alias(metric), "rows",
-        )
-    )
-    return (
-        agg.writeStream.outputMode("update")
-        .foreachBatch(lambda df, bid: _write_batch_partition(df, log_path, bid))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+def read_rollup(spark: SparkSession, log_path: str, dims: Sequence[str], metric: str) -> DataFrame:
+    """STRM6: the rollup as it is now."""
+    folded = read_partials(spark, log_path, ["day", *dims], {metric: "sum", "rows": "sum"})
+    return folded.withColumn(metric, F.col(metric).cast("double"))
 
 
 def read_latest_groups(spark: SparkSession, log_path: str, group_cols: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
@@ -210,18 +254,17 @@ def compact_group_log(spark: SparkSession, log_path: str, group_cols: Sequence[s
     _compact(spark, log_path, lambda log: log.groupBy(*group_cols).agg(*newest))
 
 
-def first_insert_stream(stream: DataFrame, table_col: str, ts_col: str, log_path: str, checkpoint: str) -> StreamingQuery:
-    """STRM7: always-current first insert per table and day (update mode)."""
-    agg = stream.groupBy(F.col(table_col).alias("table_name"), F.to_date(F.col(ts_col)).alias("day")).agg(
-        F.min(ts_col).alias("first_insert")
-    )
-    return (
-        agg.writeStream.outputMode("update")
-        .foreachBatch(lambda df, bid: _write_batch_partition(df, log_path, bid))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def first_insert_stream(
+    stream: DataFrame, table_col: str, ts_col: str, log_path: str, checkpoint: str, delay: str = "1 hour",
+) -> StreamingQuery:
+    """STRM7: first insert per table and day; rows of days that ended before the watermark go to the side output."""
+    named = stream.withColumn("table_name", F.col(table_col))
+    return windowed_stream(named, ts_col, ["table_name"], {"first_insert": F.min(ts_col)}, log_path, checkpoint, delay)
+
+
+def read_first_inserts(spark: SparkSession, log_path: str) -> DataFrame:
+    """STRM7: the first inserts as they are now."""
+    return read_partials(spark, log_path, ["table_name", "day"], {"first_insert": "min"})
 
 
 def await_done(q: StreamingQuery, timeout_s: int = 600) -> None:

@@ -115,11 +115,11 @@ def test_stream_rollup_matches_batch(spark, tmp_dir):
     _land(spark, ev, landing, days[:5])
     s = fl.file_stream(spark, landing, fl.EVENT_SCHEMA, max_files=1)
     fl.await_done(fl.rollup_stream(s, "ts", ["event_type"], "value", f"{tmp_dir}/log", f"{tmp_dir}/ck"))
-    before = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"]).collect()
-    fl.compact_group_log(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"])
-    after = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"]).collect()
-    assert sorted(map(tuple, before)) == sorted(map(tuple, after))
-    got = fl.read_latest_groups(spark, f"{tmp_dir}/log", ["day", "event_type"], ["value", "rows"])
+    before = fl.read_rollup(spark, f"{tmp_dir}/log", ["event_type"], "value").collect()
+    fl.compact_partials(spark, f"{tmp_dir}/log", ["day", "event_type"], {"value": "sum", "rows": "sum"})
+    got = fl.read_rollup(spark, f"{tmp_dir}/log", ["event_type"], "value")
+    assert sorted(map(tuple, before)) == sorted(map(tuple, got.collect()))
+    assert fl.read_late(spark, f"{tmp_dir}/log", fl.EVENT_SCHEMA).count() == 0
     sub = ev.filter(F.to_date("ts").isin(days[:5]))
     want = sub.groupBy(F.to_date("ts").alias("day"), "event_type").agg(
         F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value"), F.count(F.lit(1)).alias("rows")
