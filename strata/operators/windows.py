@@ -188,37 +188,49 @@ def partitioned_numbering(
     ``Window.partitionBy(part)`` runs each group in one task: a low-cardinality
     key (25 departments) uses 25 tasks whatever the cluster size, and a hot
     group lands whole in one of them.  Here rows are range-partitioned on
-    (part, order) and written once (``sliced``), so a big group spans many
-    slices; each slice numbers its rows, and per-(slice, group) counts turn into
-    offsets.  Equal (part, order) values share a slice, so ties rank
-    together.  Adds ``_rn`` (row number, ties broken by ``tie_key``), ``_rank``,
-    ``_dense`` and ``_gcount`` (rows in the group).
+    (part, order, tie_key) and written once (``sliced``), so a big group spans many
+    slices, and so does a value that most rows of a group share; each slice numbers its
+    rows, and counts per (slice, group) turn into offsets.  A slice may begin with the
+    value that the one before ends with: those rows take the rank of the value's first
+    row, and the value counts once for the dense rank.  Adds ``_rn`` (row number, ties
+    broken by ``tie_key``), ``_rank``, ``_dense`` and ``_gcount`` (rows in the group).
     """
     n = _partitions(df, n_parts)
-    sort = [F.col(p).asc_nulls_first() for p in part] + _sort_exprs(order)
-    ranged = sliced(df, sort, n)
-    local = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order), F.col(tie_key).asc_nulls_first())
-    local_peers = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order))
+    by_value = _sort_exprs(order)
+    ranged = sliced(df, [F.col(p).asc_nulls_first() for p in part] + by_value + [F.col(tie_key).asc_nulls_first()], n)
+    local = Window.partitionBy("_pid", *part).orderBy(*by_value, F.col(tie_key).asc_nulls_first())
+    local_peers = Window.partitionBy("_pid", *part).orderBy(*by_value)
     ranged = (
         ranged.withColumn("_lrn", F.row_number().over(local))
         .withColumn("_lrank", F.rank().over(local_peers))
         .withColumn("_ldense", F.dense_rank().over(local_peers))
     )
-    stats = ranged.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_n"), F.max("_ldense").alias("_d"))
-    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    value = F.struct(*[F.col(c) for c, _ in order])
+    stats = ranged.groupBy("_pid", *part).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_ldense").alias("_d"),
+        F.min_by(value, "_lrn").alias("_first"), F.max_by(value, "_lrn").alias("_last"), F.max("_lrank").alias("_last_rank"),
+    )
+    in_order = Window.partitionBy(*part).orderBy("_pid")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*part)
-    offsets = stats.select(
-        "_pid", *[F.col(p).alias(f"_p_{p}") for p in part],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
-        F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_doff"),
+    placed = stats.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).withColumn(
+        "_goes_on", F.coalesce(F.lag("_last").over(in_order).eqNullSafe(F.col("_first")) & (F.col("_off") > 0), F.lit(False))
+    )
+    # where the value that a slice ends with begins: in the slice, or where its first value does
+    starts = placed.withColumn("_own", F.when((F.col("_d") > 1) | ~F.col("_goes_on"), F.col("_off") + F.col("_last_rank")))
+    offsets = starts.select(
+        "_pid", *[F.col(p).alias(f"_p_{p}") for p in part], "_off", "_goes_on",
+        F.last("_own", ignorenulls=True).over(before).alias("_tie_start"),
+        (F.coalesce(F.sum("_d").over(before), F.lit(0)) - F.sum(F.col("_goes_on").cast("long")).over(in_order.rowsBetween(Window.unboundedPreceding, 0))).alias("_doff"),
         F.sum("_n").over(whole).alias("_gcount"),
     )
     cond = [ranged["_pid"] == offsets["_pid"]] + [ranged[p].eqNullSafe(offsets[f"_p_{p}"]) for p in part]
     j = ranged.join(offsets, cond).drop(offsets["_pid"])
+    tied = F.col("_goes_on") & (F.col("_lrank") == 1)
     return j.select(
         *df.columns,
         (F.col("_off") + F.col("_lrn")).cast("long").alias("_rn"),
-        (F.col("_off") + F.col("_lrank")).cast("long").alias("_rank"),
+        F.when(tied, F.col("_tie_start")).otherwise(F.col("_off") + F.col("_lrank")).cast("long").alias("_rank"),
         (F.col("_doff") + F.col("_ldense")).cast("long").alias("_dense"),
         F.col("_gcount"),
     )

@@ -728,6 +728,21 @@ PRESENTATION_ORDER: dict[str, list[tuple[str, bool]]] = {
 }
 
 
+def positioned(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """SRT1 / SRT2: a request's rows with their position in the reference's display order.
+
+    The order is made total by all other columns; the position is a row number from
+    range-partitioned slices and offsets, so it says what a sorted result would show
+    without a sort of the whole in one task.
+    """
+    df = QUERIES[name](spark, d)
+    spec = PRESENTATION_ORDER[name]
+    total = [*spec, *((c, True) for c in df.columns if c not in {o for o, _ in spec})]
+    keyed = df.select(*df.columns, *[F.col(c).isNull().alias(f"_n{i}") for i, (c, _) in enumerate(total)])
+    order = [part for i, (c, asc) in enumerate(total) for part in ((f"_n{i}", True), (c, asc))]  # nulls last
+    return global_rank(keyed, order, "row_number", "position").drop(*[f"_n{i}" for i in range(len(total))])
+
+
 def presented(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A request's result in the reference's display order (multi-key, mixed directions, NULLs last)."""
     df = QUERIES[name](spark, d)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, loading_queries, oracle_analytics, oracle_loading, stream_queries
+from . import analytics, loading_queries, oracle_analytics, oracle_loading, oracle_storage, storage_queries, stream_queries
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {}
     out.update(analytics.QUERIES)
     out.update(loading_queries.QUERIES)
+    out.update(storage_queries.QUERIES)
     out.update(stream_queries.QUERIES)
     return out
 
@@ -23,5 +24,6 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update({name: oracle_analytics.oracle(name) for name in oracle_analytics.SQL})
     out.update({name: oracle_loading.oracle(name) for name in oracle_loading.SQL})
+    out.update({name: oracle_storage.oracle(name) for name in oracle_storage.SQL})
     out.update(stream_queries.SQL)
     return out

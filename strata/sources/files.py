@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.staging import staged
+
 
 def all_string_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -62,11 +64,16 @@ def create_empty_then_append(df: DataFrame, path: str) -> None:
 
 
 def write_twice(df: DataFrame, path_a: str, path_b: str) -> tuple[int, int]:
-    """SNK5: the same rows to two destinations; returns the row count read back from each."""
+    """SNK5: the same rows to two destinations; the second is written from the first, so the
+    source is evaluated once.  Different row counts raise; they are returned as read back."""
     df.write.mode("overwrite").parquet(path_a)
-    df.write.mode("overwrite").parquet(path_b)
     spark = df.sparkSession
-    return spark.read.parquet(path_a).count(), spark.read.parquet(path_b).count()
+    first = spark.read.schema(df.schema).parquet(path_a)
+    first.write.mode("overwrite").parquet(path_b)
+    counts = first.count(), spark.read.schema(df.schema).parquet(path_b).count()
+    if counts[0] != counts[1]:
+        raise RuntimeError(f"{path_a} has {counts[0]} rows, {path_b} has {counts[1]}")
+    return counts
 
 
 def export_csv_with_stamp(df: DataFrame, base: str, as_of: str) -> str:
@@ -77,11 +84,25 @@ def export_csv_with_stamp(df: DataFrame, base: str, as_of: str) -> str:
     return path
 
 
-def write_time_partitioned(df: DataFrame, path: str, ts_col: str, part_col: str = "event_date") -> None:
-    """SNK7: store partitioned by the event date so reads prune by time."""
+def write_time_partitioned(
+    df: DataFrame, path: str, ts_col: str, part_col: str = "event_date", rows_per_file: int = 1_000_000
+) -> None:
+    """SNK7: store partitioned by the event date so reads prune by time.
+
+    Rows per day are counted first: a day is written by as many tasks, into as many
+    files, as its rows need, an ordinary one by one.  Rows are dealt to a day's files by
+    a hash of the row.
+    """
+    dated = df.withColumn(part_col, F.to_date(F.col(ts_col)))
+    days = staged(dated.groupBy(F.col(part_col).alias("_day")).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files")), "day-files")
+    total = days.agg(F.sum("_files")).first()[0] or 1
+    dealt = dated.join(days, F.col(part_col).eqNullSafe(F.col("_day"))).withColumn(
+        "_file", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]), F.col("_files"))
+    )
+    at_least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.withColumn(part_col, F.to_date(F.col(ts_col)))
-        .repartition(part_col)
+        dealt.repartition(max(at_least, total), part_col, "_file")
+        .drop("_day", "_files", "_file")
         .write.mode("overwrite")
         .partitionBy(part_col)
         .parquet(path)

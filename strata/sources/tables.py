@@ -85,6 +85,36 @@ def rows_for_keys(target: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return target.join(keys.select(key).distinct(), on=key, how="left_semi")
 
 
+#: What ``discover`` finds about a table.
+KNOWN, UNKNOWN, CHANGED, MISSING = "known", "unknown", "changed", "missing"
+
+
+def discover(spark: SparkSession, folder: str, declared: dict[str, str]) -> dict[str, tuple[str, str]]:
+    """SRC6: the tables of a folder (``<name>.parquet``) against the declared schemas: name -> (status, detail).
+
+    The folder is listed by Spark, so any store it reads will do; only footers are read.
+    A table is changed if it lacks a declared column or has one of another type, or if it
+    has columns that are not declared; the detail names them.
+    """
+    paths = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(folder)
+    name = F.regexp_extract("path", r"/([^/]+)\.parquet(/|$)", 1)
+    found = {r["name"]: r["path"] for r in paths.groupBy(name.alias("name")).agg(F.min("path").alias("path")).collect()}
+    out: dict[str, tuple[str, str]] = {}
+    for table in sorted(found.keys() | declared.keys()):
+        if table not in found:
+            out[table] = (MISSING, "")
+            continue
+        held = {f.name: f.dataType.simpleString() for f in spark.read.parquet(table_path(folder, table)).schema}
+        if table not in declared:
+            out[table] = (UNKNOWN, ", ".join(f"{c} {t}" for c, t in held.items()))
+            continue
+        want = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(declared[table])}
+        gone = [f"-{c} {t}" for c, t in want.items() if held.get(c) != t]
+        more = [f"+{c} {t}" for c, t in held.items() if want.get(c) != t]
+        out[table] = (CHANGED if gone or more else KNOWN, ", ".join(gone + more))
+    return out
+
+
 def for_each_table(names: Iterable[str], build: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     """SRC6: run the same plan builder over a set of tables (plans only, no data moves)."""
     return {n: build(n) for n in names}
