@@ -33,6 +33,7 @@ def clean_department(df: DataFrame) -> DataFrame:
 
 
 def clean_worklocation(df: DataFrame) -> DataFrame:
+    # The replaced location name and its replacement.
     return df.withColumn("LocationName", tx.replace_value("LocationName", "Washington DC", "DC"))
 
 

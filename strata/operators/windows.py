@@ -263,6 +263,21 @@ def running_best(df: DataFrame, part: Sequence[str], order: Order, value: str, n
     return joined.select(*df.columns, F.least("_l", "_before").alias("_from_left"), F.least("_r", "_after").alias("_from_right"))
 
 
+def running_sum(df: DataFrame, part: Sequence[str], order: Order, value: str, out: str, n_parts: int | None = None) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows of its group before it, by a unique order; sliced as ``running_best``."""
+    n = _partitions(df, n_parts)
+    ranged = sliced(df, [F.col(p).asc_nulls_first() for p in part] + _sort_exprs(order), n)
+    local = Window.partitionBy("_pid", *part).orderBy(*_sort_exprs(order)).rowsBetween(Window.unboundedPreceding, -1)
+    run = ranged.withColumn("_here", F.coalesce(F.sum(value).over(local), F.lit(0)))
+    per = ranged.groupBy("_pid", *part).agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carried = per.select(
+        F.col("_pid").alias("_of"), *[F.col(p).alias(f"_p_{p}") for p in part], F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
+    )
+    cond = [ranged["_pid"] == carried["_of"]] + [ranged[p].eqNullSafe(carried[f"_p_{p}"]) for p in part]
+    return run.join(carried, cond).select(*df.columns, (F.col("_before") + F.col("_here")).alias(out))
+
+
 def ntile_from_row_number(rn: Column, count: Column, buckets: int) -> Column:
     """NTILE(buckets) from a row number and the group size (the first count % buckets tiles get one extra row)."""
     q = F.floor(count / buckets)

@@ -110,20 +110,24 @@ def req1_05(spark: SparkSession, d: str) -> DataFrame:
     ).withColumn("tracking_status", F.lit(ON_THE_WAY))
 
 
-def req1_06(spark: SparkSession, d: str) -> DataFrame:
-    """Per employee: ordered customer list and call seconds (join on salesperson id = employee id, as written)."""
-    m = Model(spark, d)
+def _employee_calls(m: Model) -> DataFrame:
+    """Employees with the customers of the salesperson of the same id, their SIMs and calls."""
     e, sp, c, sd, pn, ca = (
         m.employee.alias("e"), m.salesperson.alias("sp"), m.customer.alias("c"),
         m.simdata.alias("d"), m.phonenumber.alias("p"), m.callrecords.alias("ca"),
     )
-    j = (
+    return (
         e.join(sp, F.col("sp.SalesPersonId") == F.col("e.EmployeeId"), "left")
         .join(c, F.col("c.CustomerSalesPersonId") == F.col("sp.SalesPersonId"), "left")
         .join(sd, F.col("c.CustomerId") == F.col("d.SimCustomerId"), "left")
         .join(pn, F.col("d.SimAccountNumber") == F.col("p.AccountNumber"), "left")
         .join(ca, F.col("p.AccountNumber") == F.col("ca.CallAccountNumber"), "left")
     )
+
+
+def req1_06(spark: SparkSession, d: str) -> DataFrame:
+    """Per employee: ordered customer list and call seconds (join on salesperson id = employee id, as written)."""
+    j = _employee_calls(Model(spark, d))
     # The list repeats a name once per joined row (SIMs x calls).  Rows are first
     # counted per (employee, name) - partial aggregation absorbs a hot account - so
     # each employee collects one (name, count) pair per customer (about 15 at any

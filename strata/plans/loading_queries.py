@@ -123,7 +123,7 @@ def load4_consolidate(spark: SparkSession, d: str) -> DataFrame:
             return (F.lit(None) if found is None else F.col(found)).cast(kind).alias(out)
 
         return cleaned.select(
-            F.lit(f"stge_{name}").alias("table_name"),
+            F.lit(f"stge_{name}").alias("table_name"),  # fixed value: the prefix of staging tables
             "nid",
             shared("sname", "string", "sname"),
             shared("parent", "bigint", "nshopid", "ncityid"),
@@ -262,6 +262,7 @@ def jsn1_to_json(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jsn2_default_field(spark: SparkSession, d: str) -> DataFrame:
+    # The default field and its value.
     return pr.with_default_field(_ingest_records(spark, d), "dataSource", "FACTURATION1")
 
 

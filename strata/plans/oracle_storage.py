@@ -33,6 +33,16 @@ FROM (SELECT CASE WHEN event_id % 10 <> 0 THEN DATE '2024-01-05' ELSE CAST(ts AS
 """,
     "snap1_full": "SELECT *, 'customer_FULL_20240601' AS snapshot FROM customer",
     "load1_branch": oracle_loading.SQL["ver3_compare"],
+    "agg8_pieces": """
+WITH entries AS (
+  SELECT e.Employee_Name, c.CustomerName,
+         coalesce(sum(length(c.CustomerName) + 2) OVER (PARTITION BY e.Employee_Name ORDER BY c.CustomerName ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+  FROM t_employee e JOIN t_salesperson sp ON sp.SalesPersonId = e.EmployeeId JOIN t_customer c ON c.CustomerSalesPersonId = sp.SalesPersonId
+  LEFT JOIN t_simdata d ON c.CustomerId = d.SimCustomerId LEFT JOIN t_phonenumber p ON d.SimAccountNumber = p.AccountNumber
+  LEFT JOIN t_callrecords ca ON p.AccountNumber = ca.CallAccountNumber
+  WHERE c.CustomerName IS NOT NULL)
+SELECT Employee_Name, CAST(begins // 64 AS BIGINT) AS piece, string_agg(CustomerName, ', ' ORDER BY begins) AS text FROM entries GROUP BY 1, 2
+""",
     "typ2_domain": f"SELECT event_id, event_type FROM events WHERE event_type NOT IN ({', '.join(repr(c) for c in EVENT_DOMAIN)})",
     "snap2_by_range": oracle_loading.SQL["snap2_differential"],
     "snap2_one_range": """

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from ..operators import difference, loading as ld
 from ..operators import versioning as vs
+from ..operators.lists import list_pieces, rendered
 from ..operators.windows import partitioned_numbering
 from ..session import scratch_path
 from ..sources import files, warehouse
 from ..sources.tables import SCHEMAS, Tables, discover, landing_day, read_table
-from .analytics import positioned
+from .analytics import _employee_calls, positioned
 from .loading_queries import HASH_COLS, KEY, T0, T1, source_v0, source_v1
 from .model import Model
 
@@ -123,6 +124,12 @@ def load1_branch(spark: SparkSession, d: str) -> DataFrame:
     return warehouse.read_current(spark, base)
 
 
+def agg8_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """The customer lists of request 6 in pieces of 64 characters."""
+    calls = _employee_calls(Model(spark, d)).select(F.col("e.Employee_Name").alias("Employee_Name"), F.col("c.CustomerName").alias("CustomerName"))
+    return rendered(list_pieces(calls, "Employee_Name", "CustomerName", piece_chars=64))
+
+
 def typ2_domain(spark: SparkSession, d: str) -> DataFrame:
     """Events of a category outside the declared ones."""
     return ld.out_of_domain(Tables(spark, d).events, "event_type", EVENT_DOMAIN).select("event_id", "event_type")
@@ -167,7 +174,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         src6_discovery, src8_landing, src9_csv_header, src10_json, snk1_append, snk2_replace, snk3_create_then_append, snk5_twice,
-        snk7_time_partitions, snap1_full, load1_branch, typ2_domain, snap2_by_range, snap2_one_range, ver3_by_range, win4_hot_tie,
+        snk7_time_partitions, snap1_full, load1_branch, agg8_pieces, typ2_domain, snap2_by_range, snap2_one_range, ver3_by_range, win4_hot_tie,
         srt1_position, srt2_position,
     )
 }

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import Tables
 from ..streaming import flows as fl
-from ..streaming.max_value import max_value_stream
 
 #: Event times at which a delivery ends.
 DELIVERY_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
@@ -103,6 +102,8 @@ def strm7_late_inserts(spark: SparkSession, d: str) -> DataFrame:
 
 def strm1_max_value(spark: SparkSession, d: str) -> DataFrame:
     """STRM1: a table that grows three times, read by its largest key and appended; every row once."""
+    from ..streaming.max_value import max_value_stream  # needs pyarrow, as no other flow does
+
     base = fl.run_dir(spark, "max-value")
     events = Tables(spark, d).events
     third = events.agg(F.expr("max(event_id) div 3")).scalar()

@@ -229,3 +229,27 @@ def test_discovery(spark, tmp_dir):
     got = discover(spark, tmp_dir, {"a": "id bigint", "b": "id bigint", "c": "id bigint"})
     assert got == {"a": ("known", ""), "b": ("changed", "-id bigint, +id int"), "c": ("missing", "")}
     assert discover(spark, tmp_dir, {})["a"] == ("unknown", "id bigint")
+
+
+# ------------------------------------------------------------ AGG8: lists in pieces
+@pytest.mark.parametrize("chars", [1, 7, 50, 1 << 20])
+def test_list_pieces_make_the_whole_list(spark, chars):
+    from strata.operators.lists import list_pieces, rendered
+
+    rng = random.Random(chars)
+    rows = [(rng.choice("ab"), rng.choice(["x", "longer name", None, "", "é"])) for _ in range(300)] + [("none", None)]
+    out = rendered(list_pieces(spark.createDataFrame(rows, "k string, v string"), "k", "v", piece_chars=chars)).collect()
+    for key in "ab":
+        pieces = sorted((r["piece"], r["text"]) for r in out if r["k"] == key)
+        assert ", ".join(t for _, t in pieces) == ", ".join(sorted(v for k, v in rows if k == key and v is not None))
+        assert all(len(t) <= chars + len("longer name") for _, t in pieces)
+    assert {r["k"] for r in out} == {"a", "b"}
+
+
+def test_a_hot_list_stays_in_bounded_rows(spark):
+    from strata.operators.lists import list_pieces, rendered
+
+    hot = spark.range(10_000_000).select(F.lit("k").alias("k"), F.concat(F.lit("name "), F.col("id") % 3).alias("v"))
+    pieces = list_pieces(hot, "k", "v", piece_chars=1 << 16)
+    sizes = rendered(pieces).select(F.length("text").alias("n")).agg(F.max("n"), F.sum("n"), F.count("*")).first()
+    assert sizes[0] <= (1 << 16) + 6 and sizes[1] + 2 * sizes[2] == 8 * 10_000_000
