@@ -148,7 +148,8 @@ def _later(batches) -> Iterator[pa.RecordBatch]:
 
 def covered(docs: DataFrame, min_sentences: int = 2, min_words: int = 20) -> DataFrame:
     """(doc, tag, first, last) of all spans but the first of each hash."""
-    rows = mapped(by_text(docs).select("doc", "tag", "text"), _span_rows(min_sentences, min_words), ROW)
+    # written, as dealing out by range reads its input twice
+    rows = written(mapped(by_text(docs).select("doc", "tag", "text"), _span_rows(min_sentences, min_words), ROW), "span-rows")
     order = NAMES[:5]
     ordered = rows.repartitionByRange(partitions(docs.sparkSession), *order).sortWithinPartitions(*order)
     found = written(ordered.mapInArrow(_later, ROW + ", kind long"), "spans")
