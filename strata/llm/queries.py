@@ -40,7 +40,7 @@ def op7_poly_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = documents(spark, sf_dir).select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
-    mixed = mixing.mix_sources(written(sized, "sizes"), size=F.col("size"))
+    mixed = mixing.mix_sources(written(sized, "words"), size=F.col("size"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 

@@ -23,11 +23,21 @@ level AS (
   SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= cap),
 targets AS (
   SELECT source, source_size, least(cap, level.level * weight) AS target FROM weighted, level),
+rated AS (
+  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets),
+drawn AS (
+  SELECT sized.*, source_size, target, rate, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 7))::BIGINT AS x,
+         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 8, 7))::BIGINT AS y
+  FROM sized JOIN rated ON sized.source IS NOT DISTINCT FROM rated.source),
+seeded AS (
+  SELECT source, seed, any_value(target) AS target, any_value(source_size) AS source_size, any_value(rate) AS rate,
+         coalesce(sum(size) FILTER (WHERE (x + seed * y) % 268435456 < (rate - floor(rate)) * 268435456), 0) AS taken
+  FROM drawn, unnest(range(64)) AS s(seed) GROUP BY source, seed),
+seeds AS (
+  SELECT source, arg_min(seed, (abs(taken - (target - floor(rate) * source_size)), seed)) AS seed FROM seeded GROUP BY source),
 mixed AS (
-  SELECT sized.*, source_size, target,
-         CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-         ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
-  FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+  SELECT drawn.*, (((x + seed * y) % 268435456) / 268435456.0::DOUBLE) AS draw
+  FROM drawn JOIN seeds ON drawn.source IS NOT DISTINCT FROM seeds.source)
 """
 
 LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
