@@ -15,7 +15,8 @@ and whole texts.
 
 Defined results: a null text is empty, null metadata is a value of its own; labels that
 are null, or whose document is missing, train nothing; a document is labelled by each row
-of labels with its doc_id; where the labels hold one class only, its share is everyone's
+of labels with its doc_id, and of rows that share it the least text stands for it there;
+a pseudo-label goes to the row that was scored; where the labels hold one class only, its share is everyone's
 probability; a null doc_id is scored; repeated rows are scored alike; an empty table gives
 an empty result.
 """
@@ -173,20 +174,25 @@ def _metadata(batch):
 
 
 def features_of(docs: DataFrame, model) -> list[tuple]:
-    """(doc_id, features by view) of a bounded number of documents, brought to the driver."""
+    """(doc_id, tag, features by view) of a bounded number of documents, brought to the driver."""
 
     def extract(batch):
-        ids = batch.column(batch.schema.get_field_index("doc_id"))
         found = [model.value.features(t, *m) for t, m in zip(texts(batch), _metadata(batch), strict=True)]
-        arrays = [ids]
+        arrays = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "tag")]
         for view in VIEWS:
             arrays.append(pa.array([f[view][0] for f in found], pa.list_(pa.int32())))
             arrays.append(pa.array([f[view][1] for f in found], pa.list_(pa.float64())))
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "c_there", "c_dense", "m_there", "m_dense"])
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "tag", "c_there", "c_dense", "m_there", "m_dense"])
 
-    schema = "doc_id long, c_there array<int>, c_dense array<double>, m_there array<int>, m_dense array<double>"
+    schema = "doc_id long, tag long, c_there array<int>, c_dense array<double>, m_there array<int>, m_dense array<double>"
     rows = mapped(docs, extract, schema).collect()
-    return [(r[0], {"content": (r[1], r[2]), "metadata": (r[3], r[4])}) for r in rows]
+    return [(r[0], r[1], {"content": (r[2], r[3]), "metadata": (r[4], r[5])}) for r in rows]
+
+
+def one_each(docs: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of ``keys``, the least by the other columns, so that reruns agree."""
+    rest = F.min(F.struct(*(c for c in docs.columns if c not in keys))).alias("least")
+    return docs.groupBy(*keys).agg(rest).select(*keys, "least.*")
 
 
 def view_scores(docs: DataFrame, model) -> DataFrame:
@@ -211,10 +217,10 @@ def view_scores(docs: DataFrame, model) -> DataFrame:
 
 
 def surest(scored: DataFrame, by, most: int) -> DataFrame:
-    """doc_id of the ``most`` texts that come first in ``by``; copies of a text take one place together."""
+    """(doc_id, tag) of the ``most`` texts that come first in ``by``; copies of a text take one place together."""
     rank = F.struct(by.alias("by"), F.xxhash64("doc_id").alias("mixed"), "doc_id").alias("rank")
     texts_ = scored.select("tag", rank).groupBy("tag").agg(F.min("rank").alias("rank"))
-    return texts_.orderBy("rank").limit(most).select("rank.doc_id")
+    return texts_.orderBy("rank").limit(most).select("rank.doc_id", "tag")
 
 
 def vocabulary(sample: DataFrame, max_words: int, least: int) -> dict[bytes, int]:
@@ -256,11 +262,12 @@ def co_train(
     labels = labels.select("doc_id", *(F.col(t).cast("int") for t in TARGETS)).filter("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)")
     order = F.xxhash64(F.lit("labels"), F.col("doc_id"))
     chosen = written(labels.orderBy(order, "doc_id", *TARGETS).limit(max_labelled), "labels")  # a bounded number of rows
-    docs = docs.select(*_COLUMNS)
-    sample = written(docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id"), "sample").dropDuplicates(["doc_id"])
+    docs = docs.select(*_COLUMNS, text_tag().alias("tag"))
+    sample = written(docs.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id"), "sample")
+    sample = one_each(sample.select("doc_id", "tag", *_COLUMNS[1:]), "doc_id")
     model = Model(vocabulary(sample, max_words, least))
     shared = spark.sparkContext.broadcast(model)
-    by_id = dict(features_of(sample, shared))
+    by_id = {doc_id: features for doc_id, _, features in features_of(sample, shared)}
     train: dict = {(t, v): [] for t in TARGETS for v in VIEWS}
     held: dict = {t: [] for t in TARGETS}
     for row in chosen.collect():
@@ -286,13 +293,12 @@ def co_train(
                 for label, by, sure_enough in ((1, -sure, sure > SURE + max(0, usual)), (0, sure, sure < -SURE + min(0, usual))):
                     most = min(exchange, len(held[target]) // 2)
                     for row in surest(free.filter(sure_enough), by, most).collect():
-                        given.setdefault(row["doc_id"], []).append((target, other, label))
+                        given.setdefault((row["doc_id"], row["tag"]), []).append((target, other, label))
         if not given:
             break
-        ids = spark.createDataFrame([(i,) for i in given], "doc_id long")  # bounded: see above
-        found = features_of(docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]), shared)
-        for doc_id, features in found:
-            for target, view, label in given[doc_id]:
+        ids = spark.createDataFrame(list(given), "doc_id long, tag long")  # bounded: see above
+        for doc_id, tag, features in features_of(one_each(docs.join(F.broadcast(ids), ["doc_id", "tag"]), "doc_id", "tag"), shared):
+            for target, view, label in given[doc_id, tag]:
                 train[target, view].append((features[view], label))
         model = Model(model.index)
         _fit(model, train, held)
