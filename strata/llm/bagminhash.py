@@ -279,9 +279,8 @@ def classes_of(keyed: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     classes = written(components(_union(links)), "classes")
     for whole in (False, True):
         found = written(_searched(members, classes, held, width, threshold, whole), "found")
-        if found.isEmpty():
-            break
-        classes = _joined(classes, found)
+        if not found.isEmpty():  # a first block without links says nothing of the others
+            classes = _joined(classes, found)
     return classes
 
 
