@@ -7,10 +7,15 @@ its place: below the same path of tags and beside the same neighbour, before or
 subtree on ``min_pages`` pages or more is the site's template, however many pages the host
 has, and is deleted wherever it stands in that place on that host.
 
-Never taken for a template: what lies in an ``article``; paragraphs, list items and table
-cells of ``main``; headings; and a subtree that holds half of its page's text or more, if
-that is ``LONG`` characters and not mostly links; where such a subtree recurs, so an article
-that stands on several pages of its host, nothing inside it is a template either.  Elements whose tag, role, class or id says that they are no
+Subtrees are counted on every page, with an ``article`` or without.  Inside an article only
+those are that half or more of consists of links, so menus and not what an author repeats,
+and not on different pages but in that many articles that differ in their words outside
+links: an article that stands on many pages counts once.
+
+Never taken for a template: an ``article`` or ``main`` and what is around an article; paragraphs, list items
+and table cells of both; headings; and a subtree that holds half of its page's (or article's) text or more, if
+that is ``LONG`` characters and not, outside an article, mostly links; where such a subtree recurs outside an article,
+nothing inside it is a template either.  Elements whose tag, role, class or id says that they are no
 article text, and hidden ones, go as well, so that a host's only page is clean too.  Outside
 an article a class or id says so by any of its words.  Inside one, and inside ``main``, only
 a name whose words are all of that kind does (``share-buttons``, not ``share-price``).  An
@@ -30,6 +35,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from functools import cached_property
 
 import pyarrow as pa
 import xxhash
@@ -270,31 +276,61 @@ class Page:
             links[self.parents[i]] += links[i]
         return all_, links
 
+    def articles(self) -> tuple[list[int], list[bool]]:
+        """By element, the article that it is in or is (0: none), and whether one lies in it."""
+        n = len(self.tags)
+        within, around = [0] * n, [False] * n
+        for i in range(1, n):
+            within[i] = i if self.tags[i] == "article" else within[self.parents[i]]
+        for i in range(n - 1, 0, -1):
+            if not self.noise[i]:
+                around[self.parents[i]] |= around[i] or self.tags[i] == "article"
+        return within, around
+
+    def own_words(self) -> dict[int, bytes]:
+        """By article, a hash of its texts outside links and noise."""
+        within, _ = self.articles()
+        in_link, words = [False] * len(self.tags), {}
+        for i in range(1, len(self.tags)):
+            in_link[i] = self.tags[i] == "a" or in_link[self.parents[i]]
+        for element, text in self.parts:
+            if text and within[element] and not in_link[element] and not self.noise[element] and (text := _SPACE.sub(" ", text).strip()):
+                words.setdefault(within[element], []).append(text)
+        return {a: xxhash.xxh3_128_digest("\x00".join(w).encode("utf-8", "replace")) for a, w in words.items()}
+
+    @cached_property
     def candidates(self) -> dict[int, bool]:
-        """Block elements that may be template (True) or hold most of the text (False); none on a
-        page with an article, whose text is the article's."""
-        roots = self.roots()
-        if self.tags[roots[0]] == "article":
-            return {}
+        """Block elements that may be template (True) or hold most of the text (False)."""
         all_, links = self.lengths()
-        total = sum(all_[r] for r in roots)
-        return {
-            i: not (all_[i] >= max(LONG, total / 2) and links[i] < all_[i] / 2)
-            for i in range(1, len(self.tags))
-            if self.tags[i] in BLOCKS
-            and self.tags[i] not in NEVER_TEMPLATE
-            and self.tags[i] not in HEADINGS
-            and not (self.inside[i] and self.tags[i] in PROSE)
-            and not self.noise[self.parents[i]]
-        }
-
-    def places(self) -> dict[int, tuple[bytes, ...]]:
-        """Keys of the candidates: its path of tags and subtree with what stands before it, and
-        with what follows; of one that holds most of the text, path and subtree."""
-        wanted = self.candidates()
+        within, around = self.articles()
+        total = sum(all_[r] for r in self.roots())
+        out = {}
+        for i in range(1, len(self.tags)):
+            tag = self.tags[i]
+            if tag not in BLOCKS or tag in NEVER_TEMPLATE or tag in HEADINGS:
+                continue
+            if (self.inside[i] and tag in PROSE) or self.noise[self.parents[i]]:
+                continue
+            article = within[i]
+            if article:
+                if 0 < all_[i] <= 2 * links[i] and all_[i] < max(LONG, all_[article] / 2):
+                    out[i] = True
+                continue
+            most = all_[i] >= max(LONG, total / 2) and links[i] < all_[i] / 2
+            if most or not around[i]:
+                out[i] = not most
+        return out
+
+    def places(self) -> dict[int, tuple[bytes, tuple[bytes, ...]]]:
+        """The candidates' articles (their own words; empty outside one) and keys: its path of tags
+        and subtree with what stands before it, and with what follows; of one that holds most of
+        the text, path and subtree."""
+        wanted = self.candidates
         if not wanted:
             return {}
         contents, hashes = self.subtrees()
+        within, _ = self.articles()
+        own_words = self.own_words() if any(within[i] for i in wanted) else {}
         paths = [b""] * len(self.tags)
         for i in range(1, len(self.tags)):
             above, tag = paths[self.parents[i]], self.tags[i]
@@ -310,18 +346,18 @@ class Page:
                 at[parent] += 1
             place = at[parent]
             at[parent] += 1
+            article = own_words.get(within[i], b"no words") if within[i] else b""
             if wanted.get(i) is False:
-                out[i] = (b"most" + paths[i] + hashes[i],)
+                out[i] = (article, (b"most" + paths[i] + hashes[i],))
             elif i in wanted:
                 before = beside[place - 1] if place else b"first"
                 after = beside[place + 1] if place + 1 < len(beside) else b"last"
-                out[i] = (paths[i] + hashes[i] + b"<" + before, paths[i] + hashes[i] + b">" + after)
+                out[i] = (article, (paths[i] + hashes[i] + b"<" + before, paths[i] + hashes[i] + b">" + after))
         return out
 
     def text(self, template: set[int]) -> str:
         """Blocks of the article without the given subtrees, but for those inside one that holds most of the text."""
-        held = template and self.candidates()
-        kept = {i for i in template if held.get(i) is False}
+        kept = {i for i in template if self.candidates.get(i) is False}
         if kept:
             safe = [False] * len(self.tags)
             for i in range(1, len(self.tags)):
@@ -350,31 +386,33 @@ def _column(batch, name):
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def page_subtrees(url: str | None, source: str) -> tuple[Page, dict[bytes, list[int]]]:
-    """The page and its candidate subtrees by a key of host, subtree and place."""
+def page_subtrees(url: str | None, source: str) -> tuple[Page, dict[bytes, list[tuple[int, bytes]]]]:
+    """The page and its candidate subtrees, with their articles, by a key of host, subtree and place."""
     page = Page(source)
     host, keys = host_of(url).encode(), {}
     if host:
-        for element, places in page.places().items():
+        for element, (article, places) in page.places().items():
             for place in places:
-                keys.setdefault(xxhash.xxh3_128_digest(place + host), []).append(element)
+                keys.setdefault(xxhash.xxh3_128_digest(place + host), []).append((element, article))
     return page, keys
 
 
 def _subtree_rows(batch):
-    """(page, subtree) of the different subtrees of each page, in their places."""
-    pages, subtrees = [], []
+    """(seen, subtree) of the different subtrees in their places, and the page or, inside one, the article they are seen in."""
+    seen, subtrees = [], []
     for url, source in zip(_column(batch, "url"), _column(batch, "html"), strict=True):
         _, keys = page_subtrees(url, source or "")
-        page = xxhash.xxh3_64_intdigest((source or "").encode("utf-8", "replace")) - (1 << 63)
-        pages += [page] * len(keys)
-        subtrees += keys
-    yield pa.RecordBatch.from_arrays([pa.array(pages, pa.int64()), pa.array(subtrees, pa.binary())], names=["page", "subtree"])
+        page = xxhash.xxh3_128_digest((source or "").encode("utf-8", "replace"))
+        for key, found in keys.items():
+            for where in {article or page for _, article in found}:
+                seen.append(xxhash.xxh3_64_intdigest(where) - (1 << 63))
+                subtrees.append(key)
+    yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(subtrees, pa.binary())], names=["seen", "subtree"])
 
 
 def site_templates(pages: DataFrame, min_pages: int = 5) -> DataFrame:
-    """(subtree) keys, of host, subtree and place, that recur on many pages of their host."""
-    rows = mapped(pages.select("url", "html"), _subtree_rows, "page long, subtree binary").distinct()
+    """(subtree) keys, of host, subtree and place, that recur on many pages, or in many articles, of their host."""
+    rows = mapped(pages.select("url", "html"), _subtree_rows, "seen long, subtree binary").distinct()
     return rows.groupBy("subtree").count().filter(f"count >= {min_pages}").select("subtree")
 
 
@@ -383,7 +421,7 @@ def _text_batch(batch, templates_of):
     for i, (url, source) in enumerate(zip(_column(batch, "url"), _column(batch, "html"), strict=True)):
         page, keys = page_subtrees(url, source or "")
         templates = templates_of(i)
-        found.append(page.text({e for k, es in keys.items() if k in templates for e in es}))
+        found.append(page.text({e for k, found_at in keys.items() if k in templates for e, _ in found_at}))
     keep = [batch.column(batch.schema.get_field_index(c)) for c in ("page_id", "url")]
     yield pa.RecordBatch.from_arrays(
         [*keep, pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())],
