@@ -16,6 +16,13 @@ block, and no pair is made.  First they are searched in one block of each group,
 the links found so far, in all of them; only links between components leave a task.  So a
 large group costs few rows, and no pair that could link two components is left out.
 
+Similar texts share no band with a probability of 5 in 100,000 at the defaults.  An exact check
+follows: of texts as sets of numbered shingles in one order, similar ones share one of their
+first ones (``prefix``), so nodes of different classes that share one there, and are of sizes
+that allow a link, are groups too.  First shingles alone then show which of them can be similar,
+and the texts of those are searched in the same way.  The order puts first what a sample of the
+texts has not or seldom; the sample changes the size of these groups, never the links.
+
 Words are what stands between white space (U+0020, U+0009 to U+000D), A-Z lower-cased; a
 text of fewer than ``width`` words is one shingle.  Defined results: rows that share a
 doc_id are one document, similar to what any of their texts is similar to, for
@@ -31,7 +38,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mapped, mix64, partitions, text_tag, texts, written
@@ -41,6 +48,8 @@ _GOLDEN = _U(0x9E3779B97F4A7C15)
 _ODD = np.random.default_rng(5).integers(0, 2**62, 64, dtype=np.uint64) * _U(2) + _U(1)
 #: Nodes and words of a block that a task holds, and nodes that it searches there.
 BLOCK_NODES, BLOCK_WORDS, QUERIES = 512, 2_000_000, 1024
+#: Texts whose shingles are counted for the order of the exact check, and counts that tasks hold.
+SAMPLE, COUNTED = 10_000, 200_000
 FOUND = "a long, b long"
 
 
@@ -78,13 +87,16 @@ def bag_minhash(elements: np.ndarray, weights: np.ndarray, m: int) -> np.ndarray
             ahead = int(min(256, max(3, 1.3 * until * r.mean() + 2)))
             number = (np.arange(step, step + ahead).astype(np.uint64) * _U(2) + _U(1)) * _GOLDEN
             u = ((mix64(s[:, None] + number) >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
-            time = at[:, None] + np.cumsum(-np.log(u), axis=1) / r[:, None]
+            gaps = -np.log(u)
+            gaps[:, 0] += at  # the sums are the same to the last bit wherever a process was cut
+            sums = np.cumsum(gaps, axis=1)
+            time = sums / r[:, None]
             where = mix64(s[:, None] ^ (number + _GOLDEN))
             unit = np.floor(((where >> _U(32)).astype(np.float64) * 2.0**-32) * r[:, None]) + lo[:, None]
             counts = (time < until) & (unit < w[:, None])
             np.minimum.at(out, (where[counts] & _U(0xFFFFFFFF)) % _U(m), time[counts])
             on = time[:, -1] < until
-            s, r, lo, w, at, step = s[on], r[on], lo[on], w[on], time[on, -1], step + ahead
+            s, r, lo, w, at, step = s[on], r[on], lo[on], w[on], sums[on, -1], step + ahead
         if np.isfinite(out).all():
             return out
         until *= 2.0
@@ -107,9 +119,53 @@ def multiset(text: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(shingles(word_list(text), width), return_counts=True)
 
 
-def _signatures(width: int, bands: int, rows: int):
+def numbered_shingles(elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of a multiset's elements, the copies of each numbered from 0."""
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix64(np.repeat(elements, counts) + number.astype(np.uint64) * _GOLDEN)
+
+
+def prefix(elements: np.ndarray, counts: np.ndarray, threshold: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first numbered shingles of a multiset in an order that all multisets share: by the binary
+    logarithm of their count in ``common`` (hashes in order, counts), then by hash.
+
+    Multisets of a similarity of at least ``threshold`` share at least ``threshold`` times the larger
+    one's size, so that one of these is shared.
+    """
+    hashes = numbered_shingles(elements, counts)
+    rank = np.zeros(len(hashes), np.uint64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], hashes), len(common[0]) - 1)
+        there = common[0][at] == hashes
+        rank[there] = np.log2(common[1][at[there]]).astype(np.uint64) + _U(1)
+    order = (rank << _U(57)) | (hashes >> _U(7))  # the logarithm of a count is below 63
+    first = len(order) - max(1, int(np.ceil(threshold * len(order) - 1e-6))) + 1
+    return np.sort(np.partition(order, first - 1)[:first])
+
+
+def _counted(width: int):
+    def count(batch):
+        hashes = [numbered_shingles(*multiset(text, width)) for text in texts(batch)]
+        found, n = np.unique(np.concatenate(hashes), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["hash", "n"])
+
+    return count
+
+
+def common_shingles(keyed: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, in order, and counts of the numbered shingles that a sample of the texts repeats most."""
+    every = max(1, keyed.count() // SAMPLE)
+    sample = keyed.filter(F.pmod(F.xxhash64("doc", "tag"), F.lit(every)) == 0).select("text")
+    counts = mapped(sample, _counted(width), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).filter("n > 1")
+    found = counts.orderBy(F.desc("n"), "hash").limit(COUNTED).toArrow()
+    hashes, n = (found.column(c).to_numpy() for c in ("hash", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], n[order]
+
+
+def _signatures(width: int, threshold: float, bands: int, rows: int, common):
     def sign(batch):
-        hashes, keys, size = [], [], []
+        hashes, keys, firsts, size = [], [], [], []
         for text in texts(batch):
             words = word_list(text)
             hashes.append(xxhash.xxh3_128_digest(b" ".join(words)))
@@ -117,12 +173,14 @@ def _signatures(width: int, bands: int, rows: int):
             if words:
                 elements, weights = np.unique(shingles(words, width), return_counts=True)
                 keys.append(band_keys(bag_minhash(elements, weights, bands * rows), bands).view(np.int64))
+                firsts.append(prefix(elements, weights, threshold, common.value).view(np.int64))
             else:
                 keys.append(np.empty(0, np.int64))
+                firsts.append(np.empty(0, np.int64))
         both = np.frombuffer(b"".join(hashes), dtype=np.int64).reshape(-1, 2)
         arrays = [batch.column(batch.schema.get_field_index("doc")), pa.array(both[:, 0]), pa.array(both[:, 1])]
-        arrays += [pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "h1", "h2", "n_words", "keys"])
+        arrays += [pa.array(size, pa.int64()), *(pa.array(k, pa.list_(pa.int64())) for k in (keys, firsts))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc", "h1", "h2", "n_words", "keys", "firsts"])
 
     return sign
 
@@ -154,15 +212,19 @@ class Block:
         self.bounds = np.append(first, len(elements))
         self.owners, self.counts = owners[order], np.concatenate([c for _, c in sets])[order]
 
-    def similar(self, elements: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
-        """Numbers of the nodes that are similar to a multiset."""
+    def shared(self, elements: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Size of every node's overlap with a multiset."""
         at = np.minimum(np.searchsorted(self.elements, elements), len(self.elements) - 1)
         there = self.elements[at] == elements
         first, last = self.bounds[at[there]], self.bounds[at[there] + 1]
         lengths = last - first
         entries = np.arange(lengths.sum()) + np.repeat(first - np.cumsum(lengths) + lengths, lengths)
         both = np.minimum(self.counts[entries], np.repeat(counts[there], lengths))
-        both = np.bincount(self.owners[entries], weights=both, minlength=len(self.nodes))
+        return np.bincount(self.owners[entries], weights=both, minlength=len(self.nodes))
+
+    def similar(self, elements: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+        """Numbers of the nodes that are similar to a multiset."""
+        both = self.shared(elements, counts)
         return np.flatnonzero(both / (self.sizes + counts.sum() - both) >= threshold)
 
 
@@ -197,6 +259,46 @@ def _search(width: int, threshold: float):
     return run
 
 
+def _possible(threshold: float):
+    """Rows (lead, block, turn, query, doc, class, size, firsts) in that order become (lead, doc) of what may have links.
+
+    Up to the lesser of two texts' last first shingles all that they share is among these; of the
+    text that this one belongs to, the rest may be shared."""
+
+    def run(batches):
+        at, nodes, firsts, block, found = None, [], [], None, set()
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            lists = batch.column(7)
+            for n, (*key, query, doc, class_, size) in enumerate(zip(*columns, strict=True)):
+                if key != at:
+                    if len(found) > 5000:
+                        yield _pairs(sorted(found))
+                        found = set()
+                    at, nodes, firsts, block = key, [], [], None
+                own = lists[n].values.to_numpy()
+                if not query:
+                    nodes.append((doc, class_, size))
+                    firsts.append(own)
+                    continue
+                if not nodes:
+                    continue
+                if block is None:
+                    block = Block(nodes, [np.unique(f, return_counts=True) for f in firsts])
+                    classes, sizes = (np.array([x[k] for x in nodes]) for k in (1, 2))
+                    last, after = np.array([f[-1] for f in firsts]), sizes - [len(f) for f in firsts]
+                both = block.shared(*np.unique(own, return_counts=True))
+                most = np.minimum(both + np.where(last <= own[-1], after, size - len(own)), np.minimum(sizes, size))
+                may = (both > 0) & (classes != class_) & (most >= threshold * (sizes + size - most) - 1e-6)
+                if may.any():
+                    found.add((key[0], doc))
+                    found.update((key[0], nodes[i][0]) for i in np.flatnonzero(may))
+        if found:
+            yield _pairs(sorted(found))
+
+    return run
+
+
 def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*found, strict=True)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -250,13 +352,18 @@ def near_classes(
 
 def classes_of(keyed: DataFrame, width: int = 5, threshold: float = 0.8, bands: int = 25, rows: int = 5) -> DataFrame:
     """``near_classes`` of (doc, tag, text)."""
+    common = keyed.sparkSession.sparkContext.broadcast(common_shingles(keyed, width))
     signed = written(
-        mapped(keyed.select("doc", "text"), _signatures(width, bands, rows), "doc long, h1 long, h2 long, n_words long, keys array<long>"),
+        mapped(
+            keyed.select("doc", "text"),
+            _signatures(width, threshold, bands, rows, common),
+            "doc long, h1 long, h2 long, n_words long, keys array<long>, firsts array<long>",
+        ),
         "signatures",
     )
     with_words = signed.filter("n_words > 0")
     nodes = written(
-        with_words.groupBy("h1", "h2").agg(F.min("doc").alias("node"), F.first("keys").alias("keys"), F.first("n_words").alias("n_words"), F.count("*").alias("n")), "nodes"
+        with_words.groupBy("h1", "h2").agg(F.min("doc").alias("node"), F.first("keys").alias("keys"), F.first("firsts").alias("firsts"), F.first("n_words").alias("n_words"), F.count("*").alias("n")), "nodes"
     )
     same = with_words.select("doc", "h1", "h2").join(nodes.filter("n > 1").select("h1", "h2", "node"), ["h1", "h2"])
     links = [written(same.filter("doc != node").select(F.col("doc").alias("a"), F.col("node").alias("b")).distinct(), "copies")]
@@ -265,9 +372,7 @@ def classes_of(keyed: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     shared = written(in_band.groupBy("key").agg(F.min("doc").alias("lead"), F.count("*").alias("size")).filter("size > 1").drop("size"), "bands")
     members = written(in_band.join(shared, "key").groupBy("lead", "doc").agg(F.max("n_words").alias("n_words")), "members")
     pairs = members.filter("doc != lead").select(F.col("doc").alias("a"), F.col("lead").alias("b"))
-    involved = members.select("doc").distinct()
-    # texts meet keys by a sort-merge join at every size: neither side has a bound
-    held = written(keyed.join(involved.hint("merge"), "doc").dropDuplicates(["doc", "tag"]).select("doc", "text"), "involved")
+    held = _texts_of(keyed, members)
 
     texts_a, texts_b = held.toDF("a", "text_a").hint("merge"), held.toDF("b", "text_b").hint("merge")
     compared = mapped(
@@ -277,13 +382,52 @@ def classes_of(keyed: DataFrame, width: int = 5, threshold: float = 0.8, bands:
     )
     links.append(written(compared.filter(F.col("similarity") >= threshold).select("a", "b").distinct(), "compared"))
     classes = written(components(_union(links)), "classes")
-    for whole in (False, True):
-        found = written(_searched(members, classes, held, width, threshold, whole), "found")
+    classes = _linked(members, classes, held, width, threshold, 3)  # two documents that share a band were compared
+    alike = written(_alike(nodes, classes, width, threshold), "alike")
+    firsts = nodes.select(F.col("node").alias("doc"), _size(width).alias("size"), "firsts")
+    dealt = _dealt(alike, classes, firsts, 2, in_blocks="all")
+    possible = dealt.mapInArrow(_possible(threshold), FOUND).distinct().toDF("lead", "doc")
+    possible = written(possible.join(alike, ["lead", "doc"]), "possible")
+    return classes if possible.isEmpty() else _linked(possible, classes, _texts_of(keyed, possible), width, threshold, 2)
+
+
+def _size(width: int) -> "F.Column":
+    """Number of shingles of a text with words."""
+    return F.greatest(F.col("n_words") - width + 1, F.lit(1))
+
+
+def _texts_of(keyed: DataFrame, members: DataFrame) -> DataFrame:
+    # texts meet keys by a sort-merge join at every size: neither side has a bound
+    involved = members.select("doc").distinct().hint("merge")
+    return written(keyed.join(involved, "doc").dropDuplicates(["doc", "tag"]).select("doc", "text"), "involved")
+
+
+def _linked(members: DataFrame, classes: DataFrame, held: DataFrame, width: int, threshold: float, least: int) -> DataFrame:
+    """``classes`` after the links between classes in groups of at least ``least`` documents."""
+    for in_blocks in ("first", "others"):
+        dealt = _dealt(members, classes, held, least, in_blocks)
+        found = written(dealt.mapInArrow(_search(width, threshold), FOUND).distinct(), "found")
         if not found.isEmpty():  # a first block without links says nothing of the others
             classes = _joined(classes, found)
     return classes
 
 
+def _alike(nodes: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(lead, doc, n_words) of nodes of several classes that share one of their first shingles, and whose
+    sizes allow a link; the least of them is the lead."""
+    each = nodes.select(F.explode("firsts").alias("key"), F.col("node").alias("doc"), _size(width).alias("size"))
+    same = Window.partitionBy("key")
+    several = each.withColumn("low", F.min("doc").over(same)).withColumn("high", F.max("doc").over(same)).filter("low != high")
+    shared = written(several.select("key", "doc", "size"), "shared")
+    # linked sizes differ by a factor of 1 / threshold at most, so they are in the same step or in neighbouring ones
+    step = F.floor(F.log(F.col("size").cast("double")) / -np.log(min(threshold, 1.0) * (1 - 1e-6)))
+    labelled = shared.join(classes, "doc", "left").select("key", "doc", F.coalesce("class", "doc").alias("class"), F.explode(F.array(step, step + 1)).alias("step"))
+    same = Window.partitionBy("key", "step")
+    found = labelled.select("doc", F.min("doc").over(same).alias("lead"), F.min("class").over(same).alias("low"), F.max("class").over(same).alias("high"))
+    words = nodes.groupBy("node").agg(F.max("n_words").alias("n_words")).withColumnRenamed("node", "doc")
+    return found.filter("low != high").select("lead", "doc").distinct().join(words, "doc")
+
+
 def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
     """``classes`` after further links, which are few: they are followed between classes, not documents."""
     of = lambda end: classes.select(F.col("doc").alias(end), F.col("class").alias(f"class_{end}"))
@@ -296,20 +440,22 @@ def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
     return written(out.select("doc", F.coalesce("into", "class").alias("class")), "classes")
 
 
-def _searched(members: DataFrame, classes: DataFrame, held: DataFrame, width: int, threshold: float, whole: bool) -> DataFrame:
-    """Links that documents outside their least one's class have with documents of other classes:
-    in the first block of the documents that share a band with the least, or in all blocks."""
+def _dealt(members: DataFrame, classes: DataFrame, held: DataFrame, least: int, in_blocks: str) -> DataFrame:
+    """Rows for ``_search``: in groups of at least ``least`` documents and several classes, those outside
+    their least one's class ask all documents of the first block, of all blocks where there are others,
+    or of "all" blocks of all groups."""
+    whole = in_blocks != "first"
     of_node = classes.withColumnRenamed("class", "own")
     labelled = members.join(of_node, "doc", "left").withColumn("class", F.coalesce("own", "doc")).drop("own")
     by_lead = labelled.groupBy("lead").agg(
-        F.min("class").alias("low"), F.max("class").alias("high"), F.min(F.when(F.col("doc") == F.col("lead"), F.col("class"))).alias("lead_class"),
+        F.min("class").alias("low"), F.max("class").alias("high"), F.min_by("class", "doc").alias("lead_class"),
         F.count("*").alias("size"), F.sum("n_words").alias("words"),
     )
-    # two documents were compared; what fits into one block is searched whole at once
-    open_leads = by_lead.filter("low != high AND size > 2").withColumn(
+    # what fits into one block is searched whole at once
+    open_leads = by_lead.filter(f"low != high AND size >= {least}").withColumn(
         "blocks", F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("words") / BLOCK_WORDS))
     )
-    if whole:
+    if in_blocks == "others":
         open_leads = open_leads.filter("blocks > 1")
     open_leads = open_leads.select("lead", "lead_class", "blocks", F.ceil(F.col("size") / QUERIES).alias("turns"))
     open_ = written(labelled.join(open_leads, "lead"), "open")
@@ -320,9 +466,8 @@ def _searched(members: DataFrame, classes: DataFrame, held: DataFrame, width: in
     every = F.col("blocks") if whole else F.lit(1).cast("long")
     asked = open_.filter("class != lead_class").select("lead", each(every).alias("block"), turn.alias("turn"), F.lit(True).alias("query"), "doc", "class")
     keys = ["lead", "block", "turn"]
-    dealt = held_in.unionAll(asked).join(held.hint("merge"), "doc").select(*keys, "query", "doc", "class", "text")
-    ordered = dealt.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, "query")
-    return ordered.mapInArrow(_search(width, threshold), FOUND).distinct()
+    dealt = held_in.unionAll(asked).join(held.hint("merge"), "doc").select(*keys, "query", "doc", "class", *(c for c in held.columns if c != "doc"))
+    return dealt.repartition(partitions(members.sparkSession), *keys).sortWithinPartitions(*keys, "query")
 
 
 def class_of_documents(docs: DataFrame, **options) -> DataFrame:
@@ -336,7 +481,7 @@ def class_of_documents(docs: DataFrame, **options) -> DataFrame:
 def keep_one_per_class(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each class, that of its least number; of rows equal in doc_id and text, one stays."""
     several = docs.select("doc_id", text_tag().alias("tag")).distinct().groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL")
-    several = several.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_several"))
+    several = written(several.select(F.col("doc_id").alias("_id"), F.lit(True).alias("_several")), "several")
     rows = docs.join(several, F.col("doc_id") == F.col("_id"), "left")
     rows = rows.withColumn("_doc", doc_number(F.coalesce("_several", F.lit(False)))).drop("_id", "_several")
     classes = classes_of(rows.select(F.col("_doc").alias("doc"), text_tag().alias("tag"), "text"), **options)
